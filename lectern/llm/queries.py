@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import mixing
+from lectern.llm import mixing, packing, quality_rules, simhash
 from lectern.llm.common import table
 
 
@@ -15,9 +15,35 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "placements")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.apply_rules(docs, model).drop("text")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def word_tokenizer() -> str:
+    """The public tokenizer file that op8 names, as text: executors need no file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer=word_tokenizer(), with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix": op1_mix,
+        "op2_quality_rules": op2_quality_rules,
+        "op4_simhash": op4_simhash,
+        "op8_pack": op8_pack,
     }
 
 
