@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import mixing, packing, quality_rules, simhash
+from lectern.llm import ann, bt_quality, langid, mixing, packing, quality_rules, simhash
 from lectern.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs, model).drop("text")
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
@@ -38,12 +42,25 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer=word_tokenizer(), with_ids=False)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bt_quality.classify(docs, bt_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix": op1_mix,
         "op2_quality_rules": op2_quality_rules,
+        "op3_ann": op3_ann,
         "op4_simhash": op4_simhash,
         "op8_pack": op8_pack,
+        "op9_quality": op9_quality,
+        "op10_langid": op10_langid,
     }
 
 
