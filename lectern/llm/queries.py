@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import ann, bt_quality, langid, mixing, packing, quality_rules, simhash
+from lectern.llm import ann, bt_quality, langid, mixing, packing, pii, quality_rules, secrets, simhash
 from lectern.llm.common import table
 
 
@@ -30,6 +30,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+
+
 def word_tokenizer() -> str:
     """The public tokenizer file that op8 names, as text: executors need no file."""
     import public_tokenizers
@@ -58,6 +66,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_rules": op2_quality_rules,
         "op3_ann": op3_ann,
         "op4_simhash": op4_simhash,
+        "op5_secrets": op5_secrets,
+        "op6_pii": op6_pii,
         "op8_pack": op8_pack,
         "op9_quality": op9_quality,
         "op10_langid": op10_langid,
