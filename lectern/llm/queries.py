@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import ann, bt_quality, langid, mixing, packing, pii, quality_rules, secrets, simhash
+from lectern.llm import ann, bt_quality, langid, licenses, mixing, packing, pii, quality_rules, secrets, simhash
 from lectern.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def word_tokenizer() -> str:
     """The public tokenizer file that op8 names, as text: executors need no file."""
     import public_tokenizers
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash": op4_simhash,
         "op5_secrets": op5_secrets,
         "op6_pii": op6_pii,
+        "op7_licenses": op7_licenses,
         "op8_pack": op8_pack,
         "op9_quality": op9_quality,
         "op10_langid": op10_langid,
@@ -75,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_licenses": licenses.oracle_sql()}
