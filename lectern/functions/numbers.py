@@ -37,9 +37,9 @@ def dice_terms(text: Column) -> Column:
     return F.transform(
         zipped,
         lambda z: F.struct(
-            fraction(z["0"]).alias("count"),
-            z["1"].cast("int").alias("die"),
-            F.coalesce(F.concat(z["2"], z["3"]).try_cast("int"), F.lit(0)).alias("bonus"),
+            fraction(z["a"]).alias("count"),
+            z["b"].cast("int").alias("die"),
+            F.coalesce(F.concat(z["c"], z["d"]).try_cast("int"), F.lit(0)).alias("bonus"),
         ),
     )
 

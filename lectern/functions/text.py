@@ -89,7 +89,7 @@ def special_token(text: Column) -> Column:
 
 def split_outside_parentheses(text: Column) -> Column:
     """Parts between commas that no parenthesis encloses; dashes alone are no part."""
-    parts = F.transform(F.split(text, r",(?![^(]*\))", -1), F.trim)
+    parts = F.transform(F.split(text, r",(?![^(]*\))", -1), lambda p: F.trim(p))
     return F.filter(parts, lambda p: (p != "") & ~p.rlike(r"^[-\x{2013}\x{2014}]$"))
 
 

@@ -80,14 +80,14 @@ def segment_id(book: Column, page: Column, ordinal: Column) -> Column:
     return F.format_string("%s-p%04d-%02d", book, page, ordinal)
 
 
-def suffix_vote(titles: DataFrame, by: list[str], title: str, most: int = 4, least: int = 3) -> DataFrame:
-    """The longest last words (1 to ``most``) that at least max(least, half) of a group's titles share."""
+def suffix_vote(titles: DataFrame, by: list[str], title: str, most: int = 4, least: int = 3, share: int = 2) -> DataFrame:
+    """The longest last words (1 to ``most``) that max(least, 1/share) or more of a group's titles have."""
     w = F.filter(F.split(F.lower(title), r"\s+", -1), lambda x: x != "")
     tails = F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size("w"))), lambda n: F.struct(n.alias("len"), F.array_join(F.slice(F.col("w"), -n, n), " ").alias("gram")))
     words = titles.withColumn("w", w).filter("size(w) > 0")
     total = titles.groupBy(*by).agg(F.count(F.lit(1)).alias("total"))
     counts = words.select(*by, F.inline(tails)).groupBy(*by, "len", "gram").agg(F.count(F.lit(1)).alias("n"))
-    won = counts.join(total, by).filter(F.col("n") >= F.greatest(F.lit(least), F.ceil(F.col("total") / 2)))
+    won = counts.join(total, by).filter(F.col("n") >= F.greatest(F.lit(least), F.ceil(F.col("total") / share)))
     return won.groupBy(*by).agg(F.min_by(F.struct("len", "gram", "n"), F.struct(-F.col("len"), -F.col("n"), F.col("gram"))).alias("x")).select(*by, "x.*")
 
 
