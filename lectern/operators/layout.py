@@ -1,0 +1,271 @@
+"""Reading order and tables of pages from word geometry, one page at a time.
+
+A page is small and its heuristics are sequential (greedy cliques, running clusters, merges to a
+fixpoint), so each page is one row with nested blocks, and rows are worked on in Arrow batches
+without any shuffle or grouping.  Coordinates grow to the right and down.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+from statistics import median_high
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+WORD = "struct<x0:double,y0:double,x1:double,y1:double,text:string>"
+PAGE = f"page_id bigint, width double, height double, blocks array<struct<lines:array<struct<words:array<{WORD}>>>>>"
+UNITS = "page_id bigint, ord int, kind string, text string, n_lines int, median_height double, max_height double"
+
+# The tolerances of the layout rules.
+SIDE_BY_SIDE_SHORT, SIDE_BY_SIDE_TALL = 0.7, 0.5
+TABLE_BLOCKS, ROW_TOLERANCE, WIDE_SHARE = 3, 0.4, 0.6
+COLUMN_GAP, BAND_GAP, FRAGMENT_OVERLAP, FRAGMENT_GAP = 1.5, 4.0, 0.8, 2.0
+CELL_GAP_WORDS, CELL_GAP_HEIGHT, CELL_WORDS = 2.5, 1.2, 4
+
+
+@dataclass
+class Line:
+    words: list[dict]
+
+    def __post_init__(self) -> None:
+        self.x0, self.x1 = min(w["x0"] for w in self.words), max(w["x1"] for w in self.words)
+        self.y0, self.y1 = min(w["y0"] for w in self.words), max(w["y1"] for w in self.words)
+
+    @property
+    def text(self) -> str:
+        return " ".join(w["text"] for w in self.words)
+
+    @property
+    def height(self) -> float:
+        return self.y1 - self.y0
+
+
+@dataclass
+class Block:
+    lines: list[Line]
+    table: list[Block] = field(default_factory=list)
+
+    def __post_init__(self) -> None:
+        self.x0, self.x1 = min(x.x0 for x in self.lines), max(x.x1 for x in self.lines)
+        self.y0, self.y1 = min(x.y0 for x in self.lines), max(x.y1 for x in self.lines)
+
+    @property
+    def height(self) -> float:
+        return self.y1 - self.y0
+
+
+def is_rotated(block: Block) -> bool:
+    """Every line of two or more characters is taller than wide."""
+    judged = [x for x in block.lines if len(x.text) >= 2]
+    return bool(judged) and all(x.height > x.x1 - x.x0 for x in judged)
+
+
+def is_prose(block: Block) -> bool:
+    """Four lines or more, mostly of five or more words, mostly filling the width."""
+    if len(block.lines) < 4 or median_high(len(x.words) for x in block.lines) < 5:
+        return False
+    width = block.x1 - block.x0
+    return sum(x.x1 - x.x0 >= 0.75 * width for x in block.lines) >= 0.6 * len(block.lines)
+
+
+def side_by_side(a: Block, b: Block) -> bool:
+    """Apart in x, and their common height is 70% of the shorter and half of the taller."""
+    if min(a.x1, b.x1) > max(a.x0, b.x0):
+        return False
+    common = min(a.y1, b.y1) - max(a.y0, b.y0)
+    return common > 0 and common >= SIDE_BY_SIDE_SHORT * min(a.height, b.height) and common >= SIDE_BY_SIDE_TALL * max(a.height, b.height)
+
+
+def cliques(n: int, near: list[set[int]]) -> Iterator[frozenset[int]]:
+    """Maximal sets of mutual neighbours, by branching on a pivot."""
+    stack = [(frozenset(), set(range(n)), set())]
+    while stack:
+        chosen, open_, done = stack.pop()
+        if not open_ and not done:
+            yield chosen
+            continue
+        if not open_:
+            continue
+        pivot = max(open_ | done, key=lambda v: (len(near[v] & open_), -v))
+        for v in sorted(open_ - near[pivot]):
+            stack.append((chosen | {v}, open_ & near[v], done & near[v]))
+            open_ = open_ - {v}
+            done = done | {v}
+
+
+def table_groups(blocks: list[Block]) -> list[list[int]]:
+    """Largest cliques of side-by-side blocks first, each block in one group only."""
+    blocks_ = [i for i, b in enumerate(blocks) if not is_prose(b)]
+    near = [{k for k, j in enumerate(blocks_) if k != m and side_by_side(blocks[i], blocks[j])} for m, i in enumerate(blocks_)]
+    found = sorted((sorted(c) for c in cliques(len(blocks_), near) if len(c) >= TABLE_BLOCKS), key=lambda c: (-len(c), c))
+    used: set[int] = set()
+    out = []
+    for c in found:
+        if not used & set(c):
+            used |= set(c)
+            out.append([blocks_[k] for k in c])
+    return out
+
+
+def cluster(values: list[float], tolerance: float) -> list[list[int]]:
+    """Indexes of sorted values, cut where the next value is off the running mean by more than ``tolerance``."""
+    out: list[list[int]] = []
+    mean = 0.0
+    for i in sorted(range(len(values)), key=lambda i: (values[i], i)):
+        if out and abs(values[i] - mean) <= tolerance:
+            out[-1].append(i)
+            mean += (values[i] - mean) / len(out[-1])
+        else:
+            out.append([i])
+            mean = values[i]
+    return out
+
+
+def table_rows(lines: list[Line]) -> list[str]:
+    """Rows of cells from left to right, joined by tabs."""
+    tolerance = ROW_TOLERANCE * median_high(x.height for x in lines)
+    rows = cluster([(x.y0 + x.y1) / 2 for x in lines], tolerance)
+    return ["\t".join(lines[i].text for i in sorted(r, key=lambda i: (lines[i].x0, i))) for r in rows]
+
+
+def cells(line: Line, gap: float) -> list[str]:
+    out = [[line.words[0]["text"]]]
+    for a, b in zip(line.words, line.words[1:]):
+        if b["x0"] - a["x1"] > gap:
+            out.append([])
+        out[-1].append(b["text"])
+    return [" ".join(c) for c in out]
+
+
+def single_block_table(block: Block) -> list[str] | None:
+    """Rows of a block whose lines keep two or more wide gaps; None if it is no table."""
+    gaps = [b["x0"] - a["x1"] for x in block.lines for a, b in zip(x.words, x.words[1:])]
+    if len(block.lines) < 3 or not gaps:
+        return None
+    wide = max(CELL_GAP_WORDS * max(median_high(gaps), 0), CELL_GAP_HEIGHT * median_high(x.height for x in block.lines))
+    rows = [cells(x, wide) for x in block.lines]
+    if sum(len(r) >= 3 for r in rows) < max(3, 0.6 * len(rows)):
+        return None
+    if median_high(len(c.split()) for r in rows for c in r) > CELL_WORDS:
+        return None
+    return ["\t".join(r) for r in rows]
+
+
+def merged(blocks: list[Block]) -> list[Block]:
+    """Fragments above one another in the same column become one block, until nothing changes."""
+    blocks = sorted(blocks, key=lambda b: (b.y0, b.x0))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(blocks):
+            for j in range(i + 1, len(blocks)):
+                b = blocks[j]
+                shared = min(a.x1, b.x1) - max(a.x0, b.x0)
+                line = median_high(x.height for x in a.lines + b.lines)
+                if shared >= FRAGMENT_OVERLAP * min(a.x1 - a.x0, b.x1 - b.x0) and -line <= b.y0 - a.y1 <= FRAGMENT_GAP * line and not any(c is not a and c is not b and min(c.x1, b.x1) > max(c.x0, a.x0) and a.y1 <= c.y0 < b.y0 for c in blocks):
+                    blocks[i] = Block(a.lines + b.lines)
+                    del blocks[j]
+                    changed = True
+                    break
+            if changed:
+                break
+    return blocks
+
+
+def columns(blocks: list[Block]) -> list[list[Block]]:
+    """Blocks by column: a new one begins where the gap to all before is wide."""
+    out: list[list[Block]] = []
+    edge = float("-inf")
+    gap = COLUMN_GAP * median_high(x.height for b in blocks for x in b.lines)
+    for b in sorted(blocks, key=lambda b: (b.x0, b.y0)):
+        if not out or b.x0 - edge >= gap or b.x0 >= edge:
+            out.append([])
+        out[-1].append(b)
+        edge = max(edge, b.x1)
+    return [sorted(c, key=lambda b: (b.y0, b.x0)) for c in out]
+
+
+def bands(blocks: list[Block]) -> list[list[Block]]:
+    """Blocks cut by empty bands across the page; bands with the same columns stay together."""
+    gap = BAND_GAP * median_high(x.height for b in blocks for x in b.lines)
+    out: list[list[Block]] = []
+    edge = float("-inf")
+    for b in sorted(blocks, key=lambda b: (b.y0, b.x0)):
+        if not out or b.y0 - edge >= gap:
+            out.append([])
+        out[-1].append(b)
+        edge = max(edge, b.y1)
+    half = 0.5 * median_high(x.height for b in blocks for x in b.lines)
+    parts = lambda band: [(min(b.x0 for b in c), max(b.x1 for b in c)) for c in columns(band)]
+    k = 0
+    while k + 1 < len(out):
+        a, b = parts(out[k]), parts(out[k + 1])
+        if len(a) == len(b) and all(abs(p[0] - q[0]) <= half for p, q in zip(a, b)):
+            out[k] += out.pop(k + 1)
+        else:
+            k += 1
+    return out
+
+
+def order_page(blocks: list[Block]) -> list[tuple[str, list[str], list[float]]]:
+    """(kind, lines, line heights) of each unit in reading order."""
+    blocks = [b for b in blocks if not is_rotated(b)]
+    if not blocks:
+        return []
+    grouped = table_groups(blocks)
+    in_table = {i for g in grouped for i in g}
+    wholes = []
+    for g in grouped:
+        lines = [x for i in g for x in blocks[i].lines]
+        wholes.append(Block(lines, [blocks[i] for i in g]))
+    rest = [b for i, b in enumerate(blocks) if i not in in_table]
+    width = max(b.x1 for b in blocks) - min(b.x0 for b in blocks)
+    cutting = sorted([*wholes, *(b for b in rest if b.x1 - b.x0 > WIDE_SHARE * width)], key=lambda b: (b.y0, b.x0))
+    loose = [b for b in rest if b.x1 - b.x0 <= WIDE_SHARE * width]
+    out = []
+
+    def emit(run: list[Block]) -> None:
+        for band in bands(run) if run else []:
+            for column in columns(band):
+                for b in merged(column):
+                    rows = single_block_table(b)
+                    out.append(("table" if rows else "prose", rows or [x.text for x in b.lines], [x.height for x in b.lines]))
+
+    for c in cutting:
+        above = [b for b in loose if (b.y0 + b.y1) / 2 < c.y0]
+        loose = [b for b in loose if not (b.y0 + b.y1) / 2 < c.y0]
+        emit(above)
+        rows = table_rows(c.lines) if c.table else single_block_table(c)
+        out.append(("table" if rows else "prose", rows or [x.text for x in c.lines], [x.height for x in c.lines]))
+    emit(loose)
+    return out
+
+
+def reading_order(pages: DataFrame) -> DataFrame:
+    """Units of every page: order, kind, text and line heights."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for page_id, blocks in zip(pdf["page_id"], pdf["blocks"]):
+                made = []
+                for b in blocks if blocks is not None else []:
+                    lines = [Line(list(x["words"])) for x in b["lines"] if len(x["words"])]
+                    if lines:
+                        made.append(Block(lines))
+                for k, (kind, lines, heights) in enumerate(order_page(made)):
+                    rows.append((page_id, k, kind, "\n".join(lines), len(lines), float(median_high(heights)), float(max(heights))))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in UNITS.split(", ")])
+
+    return pages.select("page_id", "blocks").mapInPandas(run, UNITS)
+
+
+def pages_of_words(words: DataFrame) -> DataFrame:
+    """Pages as one row each, from words with page_id, block, line, position and box."""
+    word = F.struct("x0", "y0", "x1", "y1", F.col("text").alias("text"))
+    lines = words.groupBy("page_id", "block", "line").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("pos").alias("p"), word.alias("w")))), lambda x: x["w"]).alias("words"))
+    blocks = lines.groupBy("page_id", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("line", "words"))), lambda x: F.struct(x["words"].alias("words"))).alias("lines"))
+    return blocks.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("block", "lines"))), lambda x: F.struct(x["lines"].alias("lines"))).alias("blocks"))
