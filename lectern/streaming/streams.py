@@ -70,8 +70,12 @@ def step(state: tuple, attempt: tuple) -> tuple:
     return (min(tier + 1, TIERS), status if tier < TIERS else "exhausted", *done, False, logged + 1)
 
 
-def ladder(attempts: DataFrame) -> DataFrame:
-    """Each user's state after every batch with attempts of theirs; states untouched for a day time out."""
+def ladder(attempts: DataFrame, forget_after_ms: int | None = None) -> DataFrame:
+    """Each user's state after every batch with attempts of theirs.
+
+    With ``forget_after_ms`` untouched states time out; such a stream never runs dry, so it is not
+    for a run over what is there.
+    """
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -82,7 +86,9 @@ def ladder(attempts: DataFrame) -> DataFrame:
         for attempt in zip(rows["tier"], rows["kind"], rows["error"]):
             now = step(tuple(now), tuple(attempt))
         state.update(tuple(now))
-        state.setTimeoutDuration(24 * 3600 * 1000)
+        if forget_after_ms:
+            state.setTimeoutDuration(forget_after_ms)
         yield pd.DataFrame([(key[0], now[0], now[1], now[6])], columns=["user_id", "tier", "status", "logged"])
 
-    return attempts.groupBy("user_id").applyInPandasWithState(run, OUT, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if forget_after_ms else GroupStateTimeout.NoTimeout
+    return attempts.groupBy("user_id").applyInPandasWithState(run, OUT, STATE, "update", timeout)
