@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lectern.llm.common import local_table, materialize
+from lectern.llm.common import local_table, materialize, pick
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -91,7 +91,7 @@ def entries(rows: DataFrame, keep: int) -> DataFrame:
 def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, probes: int = 8, cell: int = 4096, seed: int = 42) -> DataFrame:
     """The ``k`` nearest rows found of each row that ``queries`` (a condition) picks."""
     v = F.col(vector_col).cast("array<double>")
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
+    rows = pick(vectors, id_col, vector_col).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = rows.filter(F.col("id").isNotNull() & valid(F.col("v")))
     sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
     spark = vectors.sparkSession

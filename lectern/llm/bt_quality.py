@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import crc_mod
+from lectern.llm.common import crc_mod, pick
 from lectern.llm.quality_rules import statistics
 
 BINS = 16
@@ -105,9 +105,9 @@ def best_quantile(raw: np.ndarray, q: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", folds: int = 5, held_fold: int = 0, max_labelled: int = 20_000, seed: int = 42, **more) -> Ranker:
-    chosen = labels.select(F.col(id_col).alias("_id"), F.col(quality_col).cast("int").alias("_q")).filter("_q in (0, 1) and _id is not null")
+    chosen = pick(labels, id_col, quality_col).select(F.col(id_col).alias("_id"), F.col(quality_col).cast("int").alias("_q")).filter("_q in (0, 1) and _id is not null")
     chosen = chosen.filter(crc_mod(F.col("_id"), folds) != held_fold).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id", "_q").limit(max_labelled)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    texts = pick(docs, id_col, text_col).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     texts = texts.join(F.broadcast(chosen), "_id").select("_q", "_text")  # at most max_labelled ids
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
 
 def classify(docs: DataFrame, ranker: Ranker, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 0) -> DataFrame:
-    rows = docs.select(F.col(id_col), (crc_mod(F.col(id_col), folds) == held_fold).alias("held_out"), F.col(text_col).cast("string").alias("_text"))
+    rows = pick(docs, id_col, text_col).select(F.col(id_col), (crc_mod(F.col(id_col), folds) == held_fold).alias("held_out"), F.col(text_col).cast("string").alias("_text"))
     state = ranker.__dict__
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

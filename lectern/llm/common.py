@@ -6,6 +6,7 @@ import json
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +55,27 @@ def local_table(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(text, f"array<struct<{ddl}>>")))
 
 
+def shielded(docs: DataFrame, needed: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs`` with all columns but the needed ones under neutral names; then their own names again.
+
+    Names are matched exactly and by position, so columns that clash with an operator's own, or
+    with needed ones but for case, do no harm.  Columns that ``work`` adds are left out.
+    """
+    inner: list[str] = []
+    for i, c in enumerate(docs.columns):
+        inner.append(c if c in needed and c not in inner else f"_c{i}")
+    return work(docs.toDF(*inner)).select(*inner).toDF(*docs.columns)
+
+
+def pick(docs: DataFrame, *columns: str) -> DataFrame:
+    """Only these columns, by exact name (the first of equal ones)."""
+    wanted = list(dict.fromkeys(columns))
+    inner: list[str] = []
+    for i, c in enumerate(docs.columns):
+        inner.append(c if c in wanted and c not in inner else f"_c{i}")
+    return docs.toDF(*inner).select(*wanted)
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import crc_mod
+from lectern.llm.common import crc_mod, pick
 
 SLICE = 1_000_000
 
@@ -109,7 +109,7 @@ def best_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_fold: int = 1, max_docs: int = 6_000, calibration: float = 0.2, bits: int = 14, seed: int = 42, **more) -> Model:
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
+    rows = pick(docs, id_col, text_col, lang_col).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
     rows = rows.filter(crc_mod(F.col("_id"), folds) != held_fold).filter("_lang is not null and _text is not null")
     by_lang = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(by_lang)
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 3, held_fold: int = 1) -> DataFrame:
-    rows = docs.select(F.col(id_col), (crc_mod(F.col(id_col), folds) == held_fold).alias("held_out"), F.col(text_col).cast("string").alias("_text"))
+    rows = pick(docs, id_col, text_col).select(F.col(id_col), (crc_mod(F.col(id_col), folds) == held_fold).alias("held_out"), F.col(text_col).cast("string").alias("_text"))
     state = model.__dict__
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import local_table
+from lectern.llm.common import local_table, pick
 
 #: Lines of a copyright statement, in lower case.
 COPYRIGHT = r"(?m)^[\x20\x09]*(copyright|\(c\)|©|copr\.|all rights reserved)[^\n]*$"
@@ -93,6 +93,7 @@ def known(spark, texts: dict[str, str]) -> DataFrame:
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, license_digest, license_id of the entire text, licenses of its notice lines, their number."""
     spark = docs.sparkSession
+    docs = pick(docs, id_col, text_col)
     notices = {r.digest: r.license_id for r in known(spark, NOTICES).collect()}  # as many as NOTICES
     by_digest = F.create_map(*(F.lit(x) for pair in notices.items() for x in pair))
     lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1), lambda x: F.lower(x).rlike(CUE))

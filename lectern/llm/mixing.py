@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lectern.llm.common import WORD, local_table, materialize, word_count
+from lectern.llm.common import WORD, local_table, materialize, pick, shielded, word_count
 
 #: Blocks of this many blocks are summed first, so that no prefix sum runs over a whole source.
 SUPER = 1024
@@ -82,7 +82,7 @@ def mix_plan(
     document goes: shard, epoch and words (fewer than ``size`` for a source's last document only).
     """
     sized = materialize(
-        docs.select(
+        pick(docs, id_col, text_col, source_col).select(
             F.col(id_col).alias("id"),
             F.col(source_col).cast("string").alias("src"),
             word_count(F.col(text_col)).alias("size"),
@@ -143,6 +143,13 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ``n_chars``, where there is one, follows.  With ``shard_columns``, the columns ``_shard`` and
     ``_order`` are added: sorting by them gives the shards, each shuffled.
     """
+    if not shard_columns:
+        needed = [id_col, text_col, source_col, "n_chars"]
+        return shielded(docs, needed, lambda d: _mixed(d, id_col, text_col, source_col, seed, weights, share, cap, shards, block_docs, max_sources, False))
+    return _mixed(docs, id_col, text_col, source_col, seed, weights, share, cap, shards, block_docs, max_sources, True)
+
+
+def _mixed(docs: DataFrame, id_col, text_col, source_col, seed, weights, share, cap, shards, block_docs, max_sources, shard_columns) -> DataFrame:
     docs_ = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
     sized = docs_.select(
         F.col("_row"),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lectern.llm.common import local_table, materialize
+from lectern.llm.common import local_table, materialize, pick
 
 #: Words whose ids a Python worker remembers; others are merged again when they come.
 KEPT_WORDS = 700_000
@@ -108,7 +108,7 @@ class WordEncoder:
 
 def pieces(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = 2048, end_id: int = 1, with_ids: bool = True) -> DataFrame:
     """Per piece: id, start, length, ids_crc32, doc_tokens and, with ``with_ids``, ids."""
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    rows = pick(docs, id_col, text_col).select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
     end = np.array([end_id], dtype="<u4").tobytes()
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
 

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import materialize
+from lectern.llm.common import materialize, pick, shielded
 from lectern.llm.spans import matches, written
 
 LOCAL = "A-Za-z0-9._%+-"
@@ -186,7 +186,7 @@ def train(scanned: DataFrame) -> dict[tuple[str, object], float]:
 
 def detect(docs: DataFrame, *, text_col: str = "text", keep: list[str], at_least: float = 0.5) -> DataFrame:
     """``keep`` columns and ``spans`` of kind, rank, start, end and probability, in text order."""
-    scanned = materialize(docs.select(*keep, candidates(F.coalesce(F.col(text_col), F.lit(""))).alias("spans")), "pii")
+    scanned = materialize(pick(docs, *keep, text_col).select(*keep, candidates(F.coalesce(F.col(text_col), F.lit(""))).alias("spans")), "pii")
     weights = train(scanned)
     tables = {f: F.create_map(*(x for v in vs for x in (F.lit(v), F.lit(weights[f, v])))) for f, vs in FEATURES.items()}
 
@@ -208,6 +208,10 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; of overlapping spans the first names the whole."""
+    return shielded(docs, [text_col, "n_chars"], lambda d: _redacted(d, text_col))
+
+
+def _redacted(docs: DataFrame, text_col: str) -> DataFrame:
     found = detect(docs, text_col=text_col, keep=docs.columns)
     text = F.col(text_col)
     order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))

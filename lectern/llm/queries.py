@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import ann, bt_quality, langid, licenses, mixing, packing, pii, quality_rules, secrets, simhash
-from lectern.llm.common import table
+from lectern.llm.common import pick, table
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +16,7 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text")
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
     return quality_rules.apply_rules(docs, model).drop("text")
 
@@ -55,12 +55,12 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents")
     return bt_quality.classify(docs, bt_quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import materialize
+from lectern.llm.common import materialize, pick
 from lectern.llm.spans import matches, written
 
 KEYWORD = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
@@ -57,7 +57,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rep
 
     A value is live-looking if fewer than ``example_owners`` owners have it.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(repo_col).cast("string").alias("_repo"), F.col(owner_col).cast("string").alias("_owner"), candidates(F.coalesce(F.col(text_col), F.lit(""))).alias("spans"))
+    rows = pick(docs, id_col, text_col, repo_col, owner_col).select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(repo_col).cast("string").alias("_repo"), F.col(owner_col).cast("string").alias("_owner"), candidates(F.coalesce(F.col(text_col), F.lit(""))).alias("spans"))
     rows = materialize(rows, "secrets")
     each = rows.filter(F.size("spans") > 0).select("_row", "_repo", "_owner", F.inline("spans"))
     repos = each.select("hash", "_owner", "_repo").distinct()

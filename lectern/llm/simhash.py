@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lectern.llm.common import materialize
+from lectern.llm.common import materialize, pick, shielded
 
 
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
@@ -53,7 +53,7 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
 
 def with_fingerprints(docs: DataFrame, *, text_col: str = "text", keep: list[str], shingle: int = 3, seed: int = 42) -> DataFrame:
     """Columns ``keep`` of every row, and ``fp``."""
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    rows = pick(docs, *keep, text_col).select(*keep, F.col(text_col).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,6 +144,10 @@ def hex16(fp) -> object:
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` of which one for each component stays: its smallest id (ties: first row)."""
+    return shielded(docs, [id_col, text_col], lambda d: _one_of_each(d, id_col, text_col))
+
+
+def _one_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-docs")
     found = near_duplicates(numbered, id_col=id_col, text_col=text_col, keep=[id_col, "_row"])
     order = F.struct(F.col(id_col).isNull(), id_col, "_row")
