@@ -90,7 +90,7 @@ def links(fps: DataFrame, segments: int = 2) -> DataFrame:
             first = np.maximum.accumulate(first)
             head = np.where(first < 0, least if least is not None else 0, fp[np.maximum(first, 0)])
             key, least = keys[-1], head[-1]
-            near = (np.bitwise_count(fp ^ head) <= 2) & (fp != head)
+            near = (np.bitwise_count((fp ^ head).view(np.uint64)) <= 2) & (fp != head)  # unsigned: of negative numbers numpy counts the absolute value
             if near.any():
                 yield pa.RecordBatch.from_arrays([pa.array(fp[near]), pa.array(head[near])], ["a", "b"])
 
@@ -99,7 +99,7 @@ def links(fps: DataFrame, segments: int = 2) -> DataFrame:
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(node, root) of every node with a link; the root is the component's smallest node."""
+    """(node, root) of every node with a link that is not its component's smallest node, the root."""
     edges, mark = _written(edges)
     for _ in range(max_rounds):
         if not mark[0]:
