@@ -37,6 +37,9 @@ def features(text: bytes | None) -> list[float]:
     return [*values, float(n < 50), float(n == 0), float(repeat_rate > 0.5)]
 
 
+WIDTH = len(features(None))
+
+
 class Ranker:
     """Bin edges, weights by bin, threshold and scale."""
 
@@ -117,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
     rows = texts.mapInArrow(measure, "q int, x array<double>").limit(2 * max_labelled).collect()
     rows.sort(key=lambda r: (r.x, r.q))
-    x = np.array([r.x for r in rows]).reshape(len(rows), -1)
+    x = np.array([r.x for r in rows]).reshape(len(rows), WIDTH)
     return learn(x, np.array([r.q for r in rows]), seed=seed, **more)
 
 
@@ -128,7 +131,7 @@ def classify(docs: DataFrame, ranker: Ranker, *, id_col: str = "doc_id", text_co
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Ranker(**state)
         for batch in batches:
-            x = np.array([features(t) for t in batch.column(2).cast(pa.binary()).to_pylist()]).reshape(batch.num_rows, -1)
+            x = np.array([features(t) for t in batch.column(2).cast(pa.binary()).to_pylist()]).reshape(batch.num_rows, WIDTH)
             score = made.score(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), pa.array((score >= made.at).astype(np.int32))], [id_col, "held_out", "score", "predicted"])
 
