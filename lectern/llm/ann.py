@@ -88,20 +88,8 @@ def entries(rows: DataFrame, keep: int) -> DataFrame:
     return few.groupBy(*keys).agg(F.first("v").alias("v"), F.array_sort(F.collect_list("id")).alias("ids"))
 
 
-def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, probes: int = 8, cell: int = 4096, seed: int = 42) -> DataFrame:
-    """The ``k`` nearest rows found of each row that ``queries`` (a condition) picks."""
-    v = F.col(vector_col).cast("array<double>")
-    rows = pick(vectors, id_col, vector_col).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
-    rows = rows.filter(F.col("id").isNotNull() & valid(F.col("v")))
-    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
-    spark = vectors.sparkSession
-    if not sizes:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = sizes[0]["dim"]
-    rows = rows.filter(F.size("v") == dim).withColumns({"h1": F.xxhash64("v"), "h2": F.hash("v")})
-    nodes = materialize(entries(rows, k + 1), "ann-vectors")
-    asking = materialize(rows.filter("asks").select("id", "h1", "h2").distinct(), "ann-queries")
-    hasher = Hasher(dim, tables, seed)
+def _search(nodes: DataFrame, asked: DataFrame, hasher: Hasher, dim: int, probes: int, k: int, cell: int) -> DataFrame:
+    """h1, h2, vec_id, score: the k + 1 nearest found of each distinct query vector, itself among them."""
 
     def bucketed(of: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,12 +103,11 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
         return run
 
     index = nodes.select("h1", "h2", "v", "ids").mapInArrow(bucketed(1), "bucket int, h1 long, h2 int, v array<double>, ids array<long>")
-    asked = nodes.join(asking.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "v")
     probing = asked.mapInArrow(bucketed(probes), "bucket int, h1 long, h2 int, v array<double>")
     # at most tables * 2 * width buckets, whatever the data
     n = {r.bucket: r.n for r in index.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     q = {r.bucket: r.n for r in probing.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cells = F.broadcast(local_table(spark, [{"bucket": b, "rows": -(-n[b] // cell), "cols": -(-q[b] // cell)} for b in n if b in q], "bucket int, rows int, cols int"))
+    cells = F.broadcast(local_table(nodes.sparkSession, [{"bucket": b, "rows": -(-n[b] // cell), "cols": -(-q[b] // cell)} for b in n if b in q], "bucket int, rows int, cols int"))
     all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     index = index.join(cells, "bucket").withColumn("row", F.pmod("h2", "rows")).withColumn("col", all_of("cols")).select("bucket", "row", "col", "v", "ids")
     probing = probing.join(cells, "bucket").withColumn("col", F.pmod("h2", "cols")).withColumn("row", all_of("rows")).select("bucket", "row", "col", "h1", "h2", "v")
@@ -148,7 +135,31 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
     found = probing.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(rerank, "h1 long, h2 int, score double, ids array<long>")
     found = found.select("h1", "h2", F.explode("ids").alias("vec_id"), "score").groupBy("h1", "h2", "vec_id").agg(F.max("score").alias("score"))
     best = W.partitionBy("h1", "h2").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k + 1).drop("_n")
+    return found.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k + 1).drop("_n")
+
+
+def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, probes: int = 8, cell: int = 4096, seed: int = 42) -> DataFrame:
+    """The ``k`` nearest rows found of each row that ``queries`` picks: a condition on the id and vector columns by name."""
+    v = F.col(vector_col).cast("array<double>")
+    rows = pick(vectors, id_col, vector_col).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
+    rows = rows.filter(F.col("id").isNotNull() & valid(F.col("v")))
+    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
+    spark = vectors.sparkSession
+    if not sizes:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dim = sizes[0]["dim"]
+    rows = rows.filter(F.size("v") == dim).withColumns({"h1": F.xxhash64("v"), "h2": F.hash("v")})
+    nodes = materialize(entries(rows, k + 1), "ann-vectors")
+    asking = materialize(rows.filter("asks").select("id", "h1", "h2").distinct(), "ann-queries")
+    asked = nodes.join(asking.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "v")
+    found = materialize(_search(nodes, asked, Hasher(dim, tables, seed), dim, probes, k, cell), "ann-found")
+    # a query far from everything may miss: with fewer than k others, it probes every bucket of one table
+    enough = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > k).select("h1", "h2")
+    short = materialize(asked.join(enough, ["h1", "h2"], "left_anti"), "ann-short")
+    if not short.isEmpty():
+        all_ = Hasher(dim, 1, seed)
+        more = _search(nodes, short, all_, dim, 2 * all_.width, k, cell)
+        found = found.join(short.select("h1", "h2"), ["h1", "h2"], "left_anti").unionByName(more)
     out = asking.join(found, ["h1", "h2"]).filter("vec_id != id")
     mine = W.partitionBy("id").orderBy(F.desc("score"), "vec_id")
     out = out.groupBy("id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(mine)).filter(F.col("rank") <= k)
