@@ -53,7 +53,6 @@ class Ranker:
         if not len(self.weights):
             return np.full(len(x), self.at)
         z = (self.raw(x) - self.threshold) / self.scale + np.log(self.at / (1 - self.at))
-        # rounding keeps a score just at the threshold on its side
         return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 

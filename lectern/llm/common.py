@@ -45,7 +45,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     fixed once made (row numbers) stay as they are.
     """
     path = f"{scratch_dir(df.sparkSession)}/lectern-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
