@@ -7,14 +7,19 @@ without any shuffle or grouping.  Coordinates grow to the right and down.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from statistics import median_high
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The page functions travel to executors by value: they need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WORD = "struct<x0:double,y0:double,x1:double,y1:double,text:string>"
 PAGE = f"page_id bigint, width double, height double, blocks array<struct<lines:array<struct<words:array<{WORD}>>>>>"
 UNITS = "page_id bigint, ord int, kind string, text string, n_lines int, median_height double, max_height double"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -14,6 +16,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from lectern.operators.workqueue import TIERS
 
 
+# The state machine travels to executors by value: it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
     return f"{base}/lectern-{label}-{uuid.uuid4().hex}"
