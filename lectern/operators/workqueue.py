@@ -94,3 +94,90 @@ def reset(queue: DataFrame, hard: bool) -> DataFrame:
     """Soft: exhausted and running work is pending again on its tier; hard: all starts anew."""
     redo = F.lit(True) if hard else F.col("status").isin("exhausted", "in_progress")
     return queue.withColumns({"status": F.when(redo, "pending").otherwise(F.col("status")), "tier": F.lit(1) if hard else F.col("tier")})
+
+
+def escalate_stuck(queue: DataFrame) -> DataFrame:
+    """Pending work whose last attempt failed on its own tier goes up, or is exhausted on the last tier.
+
+    ``attempts`` holds structs of tier and kind, in order.  A first request for context is no
+    failure yet.
+    """
+    here = F.filter("attempts", lambda a: a["tier"] == F.col("tier"))
+    waits = (F.element_at(here, -1)["kind"] == "needs_context") & (F.size(here) < 2)
+    stuck = F.coalesce((F.col("status") == "pending") & (F.size(here) > 0) & ~F.when(F.size(here) > 0, waits), F.lit(False))
+    last = F.col("tier") >= TIERS
+    return queue.withColumns({"tier": F.when(stuck & ~last, F.col("tier") + 1).otherwise(F.col("tier")), "status": F.when(stuck & last, "exhausted").otherwise(F.col("status"))})
+
+
+def claim_files(replies: DataFrame, staged: DataFrame, owners: DataFrame) -> DataFrame:
+    """Each path that a reply claims: seg_id, path, target, outcome, owner.
+
+    ``replies``: seg_id, records (paths).  ``staged``: seg_id, path, target of files that lie in a
+    segment's own staging folder.  ``owners``: target, owner and superseded, of files that live or
+    written segments hold.  A path that is not staged by its own segment is missing; a target
+    that another segment holds, unless that one is superseded, collides; others are claimed.
+    """
+    asked = replies.select("seg_id", F.explode(F.array_distinct("records")).alias("path"))
+    held = owners.filter(~F.col("superseded")).groupBy("target").agg(F.collect_set("owner").alias("holders"))
+    found = asked.join(staged.select("seg_id", "path", "target"), ["seg_id", "path"], "left").join(held, "target", "left")
+    other = F.array_min(F.filter("holders", lambda h: h != F.col("seg_id")))
+    outcome = F.when(F.col("target").isNull(), "missing").when(other.isNotNull(), "collision").otherwise("claimed")
+    return found.select("seg_id", "path", "target", outcome.alias("outcome"), F.when(F.col("target").isNotNull(), other).alias("owner"))
+
+
+def write_back(claims: DataFrame) -> DataFrame:
+    """Per segment: status (pending, or failed with errors) and ``moves`` of its claimed files, as a manifest of actions."""
+    move = F.when(F.col("outcome") == "claimed", F.struct(F.col("path").alias("source"), "target"))
+    error = F.when(F.col("outcome") == "missing", F.concat(F.lit("missing_record_path: "), "path")).when(F.col("outcome") == "collision", F.concat(F.lit("record_path_collision: "), "target", F.lit(" is owned by segment "), F.col("owner").cast("string")))
+    per = claims.groupBy("seg_id").agg(F.array_sort(F.collect_list(move)).alias("moves"), F.array_sort(F.collect_list(error)).alias("errors"))
+    return per.withColumn("status", F.when(F.size("errors") > 0, "failed").otherwise("pending"))
+
+
+def stamp_records(records: DataFrame, segments: DataFrame) -> DataFrame:
+    """Claimed records with their segment's own book, pages, tier and model, whatever they said themselves."""
+    own = segments.select("seg_id", F.col("book_id").alias("_b"), F.col("pages").alias("_p"), F.col("tier").alias("_t"), F.col("model").alias("_m"))
+    given = {"book_id": "_b", "pages": "_p", "tier": "_t", "model": "_m"}
+    out = records.join(own, "seg_id")
+    return out.select(*[c for c in records.columns if c not in given], *(F.col(x).alias(c) for c, x in given.items()))
+
+
+def fix_claims(segments: DataFrame, owners: DataFrame) -> DataFrame:
+    """What recovery does with a segment's claims: action, pruned paths, and its new status and records.
+
+    ``segments``: seg_id, in_human, superseded, status, records (paths); ``owners``: path, owner, of the files
+    that are there.  A claim is bad if its file is missing or another's.  A superseded segment
+    releases all claims; one in human hands is only reported; one that was done goes back to
+    pending; others lose the bad paths.  Segments without trouble are left out.
+    """
+    claims = segments.select("seg_id", F.explode("records").alias("path")).join(owners, "path", "left")
+    bad = claims.filter(F.coalesce(F.col("owner") != F.col("seg_id"), F.lit(True))).groupBy("seg_id").agg(F.collect_set("path").alias("_bad"))
+    rows = segments.join(bad, "seg_id", "left").withColumn("_bad", F.coalesce("_bad", F.array().cast("array<string>")))
+    freed = F.col("superseded") & (F.size("records") > 0)
+    action = F.when((freed | (F.size("_bad") > 0)) & F.col("in_human"), "left_in_human").when(freed, "released").when(F.size("_bad") > 0, F.when(F.col("status") == "done", "reset").otherwise("pruned"))
+    pruned = F.array_sort(F.when(freed, F.col("records")).otherwise(F.col("_bad")))
+    rows = rows.withColumns({"action": action, "pruned": pruned}).filter("action IS NOT NULL")
+    stays = F.col("action") == "left_in_human"
+    return rows.select("seg_id", "action", "pruned", F.when(F.col("action") == "reset", "pending").otherwise(F.col("status")).alias("status"), F.when(stays, F.col("records")).otherwise(F.array_except("records", "pruned")).alias("records"))
+
+
+def waves(queue: DataFrame, replies: DataFrame, n: int, cut, max_waves: int = 1000) -> DataFrame:
+    """Work through the queue by scripted replies, ``n`` segments of a book at a time.
+
+    ``replies``: seg_id, call (from 1), kind (done, or that of a failed attempt) and error.  A
+    segment without a reply for its next call is left as it is and not asked again.  ``cut`` ends
+    a wave's lineage.  Returns seg_id, book, tier, status and calls.
+    """
+    work = queue.select("seg_id", "book", F.lit(0).alias("calls"), F.struct(F.col("tier").cast("int").alias("tier"), "status", F.lit(0).alias("last_tier"), F.lit("").alias("last_kind"), F.lit("").alias("last_error"), F.lit(False).alias("asked"), F.lit(0).alias("logged")).cast(STATE).alias("s"), F.lit(False).alias("idle"))
+    for _ in range(max_waves):
+        open_ = work.filter("NOT idle").select("seg_id", "book", F.col("s.tier").alias("tier"), F.col("s.status").alias("status"))
+        chosen = select_work(open_, "seg_id", n).select("seg_id", F.lit(True).alias("_now"))
+        told = replies.select("seg_id", (F.col("call") - 1).cast("int").alias("calls"), F.struct(F.lit(0).alias("tier"), "kind", "error").alias("_reply"))
+        step = work.join(chosen, "seg_id", "left").join(told, ["seg_id", "calls"], "left")
+        here = F.coalesce("_now", F.lit(False))
+        heard = here & F.col("_reply").isNotNull()
+        done = F.col("s").withField("status", F.lit("done"))
+        state = F.when(heard & (F.col("_reply.kind") == "done"), done).when(heard, advance(F.col("s"), F.col("_reply"))).otherwise(F.col("s"))
+        work = cut(step.select("seg_id", "book", (F.col("calls") + heard.cast("int")).alias("calls"), state.cast(STATE).alias("s"), (F.col("idle") | (here & ~heard)).alias("idle")))
+        if work.filter("NOT idle AND s.status = 'pending'").isEmpty():
+            break
+    return work.select("seg_id", "book", "s.tier", "s.status", "calls")
