@@ -18,6 +18,7 @@ RUN_IN = r"([A-Z][A-Za-z'\x{2019},()/ -]{1,59}):"
 SENTENCE_END = r"[.!?][)\]\"\x{201d}\x{2019}]*$"
 HEADING_TOKENS, SHORT_TOKEN, CAPS_CHARS, PROSE_WORDS = 8, 3, 60, 20
 FEATURE_SHARE = 0.75
+TIERS = ["greater", "improved", "lesser", "mighty", "tireless", "superior", "mass", "advanced"]
 NO_FEATURE = [
     "Weapon and Armor Proficiency", "Note", "Notes", "Exception", "Exceptions", "Example", "Examples", "Special",
     "Abilities", "Alignment", "Hit Die", "Class Skills", "Class Features", "Other Features",
@@ -43,9 +44,11 @@ def prints_run_in(text: Column, name: Column) -> Column:
 
 
 def described_by(token: Column, feature: Column) -> Column:
-    """The feature's words are a run of the token's."""
+    """The feature's words are a run of the token's, and what is left names no other tier of it."""
     padded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    return (token != "") & (feature != "") & F.contains(padded(token), padded(feature))
+    at = F.position(padded(feature), padded(token))
+    left = F.concat(F.left(padded(token), at), F.substring(padded(token), at + F.length(feature) + 1, F.length(token) + 2))
+    return (token != "") & (feature != "") & (at > 0) & ~F.arrays_overlap(F.split(left, " "), F.array(*map(F.lit, TIERS)))
 
 
 def monster_errors(name: Column, group: Column, variant: Column, abilities: Column, tokens: Column, missing: Column, text: Column) -> Column:
@@ -58,7 +61,7 @@ def monster_errors(name: Column, group: Column, variant: Column, abilities: Colu
     said = lambda what, a: F.concat(F.lit(f"{what} "), a)
     unprinted = F.transform(F.filter(abilities, lambda a: ~prints_run_in(plain, T.plain_table_text(a))), lambda a: F.concat(F.lit("ability is not printed: "), a))
     known = lambda t: F.exists(abilities, lambda a: described_by(T.special_token(t), T.special_token(a)))
-    dropped = F.transform(F.filter(tokens, lambda t: (T.special_token(t) != "") & ~known(t) & prints_run_in(plain, T.plain_table_text(t))), lambda t: F.concat(F.lit("described but not recorded: "), t))
+    dropped = F.transform(F.filter(tokens, lambda t: ~t.rlike(r"^\s*(?:\p{Pd}|\x{2212})?\s*$") & ~known(t) & prints_run_in(plain, T.plain_table_text(t))), lambda t: F.concat(F.lit("described but not recorded: "), t))
     dashless = F.transform(F.filter(missing, lambda k: ~F.regexp_like(plain, F.concat(F.lit(r"\b"), _literal(F.lower(k)), F.lit(r"\s*-")))), lambda k: said("no dash for", k))
     empty = lambda c: F.coalesce(c, none())
     found = F.concat(heading, empty(unprinted), empty(dropped), empty(dashless))
