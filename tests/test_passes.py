@@ -120,3 +120,29 @@ def test_layout_cuts_an_overwide_column_at_its_valley():
     left, right = block(0, 0, "aaaaaaaa"), block(52, 0, "bbbbbbbb")
     assert len(layout.columns([left, right])) == 1 and [len(c) for c in layout.columns([left, right], 50.0)] == [1, 1]
     assert len(layout.columns([left, block(45, 0, "bbbbbbbb")], 50.0)) == 1
+
+
+def test_superseding_by_heading_parents_and_lists(spark):
+    from lectern.operators import canon
+
+    rows = [
+        ("c", "class", "Druid", "druid", 10, 15, None, ["Wild Shape (Su)", "Alignment"], ["t1"]),
+        ("f1", "rules_section", "Wild Shape", "wild-shape", 11, 12, None, None, None),
+        ("f2", "rules_section", "Alignment", "alignment", 11, 11, None, None, None),
+        ("f3", "rules_section", "The Druid's Companion", "the-druids-companion", 12, 12, None, None, None),
+        ("f4", "spell", "Druid", "druid", 12, 12, None, None, None),
+        ("t1", "table", "Listed", "listed", 12, 12, None, None, None),
+        ("t2", "table", "Free", "free", 12, 12, None, None, None),
+        ("t3", "table", "Companions", "companions", 12, 12, "f3", None, None),
+        ("t4", "table", "Shapes", "shapes", 12, 12, "f1", None, None),
+        ("t5", "table", "Late", "late", 15, 16, None, None, None),
+    ]
+    records = spark.createDataFrame(rows, "id string, type string, name string, slug string, first_page int, last_page int, parent string, headings array<string>, tables array<string>").withColumn("book_id", F.lit("b"))
+    done = canon.supersede(records)
+    assert {r.id for r in done.filter("superseded_by = 'c'").collect()} == {"f1", "t2", "t4"} and done.count() == len(rows)
+    fixes = [("e1", "b", "Wild Shape", None), ("e2", "b", "Shape of Wild Shape", 12), ("e3", "b", "wild shape (Su)", None), ("e4", "b", "The Other", None), ("e5", "b", "Late", None)]
+    fixed, missed = canon.apply_overrides(done, spark.createDataFrame(fixes, "id string, book_id string, target_name string, target_page int"))
+    got = {r.id: r.applied_overrides for r in fixed.filter("size(applied_overrides) > 0").collect()}
+    assert got == {"c": ["e1", "e3"], "t5": ["e5"]}
+    told = {r.entry: r.candidates for r in missed.collect()}
+    assert told["e4"] == ["f3"] and set(told) == {"e2", "e4"} and len(told["e2"]) == 5
