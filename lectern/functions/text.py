@@ -166,3 +166,57 @@ def dehyphenate(lines: Column, known: Column) -> Column:
         return F.when(acc == "", line).when(broken, glued).otherwise(F.concat(acc, F.lit(" "), line))
 
     return F.aggregate(lines, F.lit(""), join)
+
+
+# Abbreviations of class names.
+CLASS_NAMES = {
+    "Adp": "Adept", "Asn": "Assassin", "Brd": "Bard", "Blk": "Blackguard", "Clr": "Cleric", "Drd": "Druid", "Ftr": "Fighter",
+    "Mnk": "Monk", "Pal": "Paladin", "Rgr": "Ranger", "Rog": "Rogue", "Sor": "Sorcerer", "Wiz": "Wizard",
+}
+
+
+def expand_class(token: Column) -> Column:
+    """Class names of a token such as Sor/Wiz; what is no abbreviation only gets a first capital."""
+    names = F.create_map(*(F.lit(x) for pair in CLASS_NAMES.items() for x in pair))
+    one = lambda t: F.coalesce(F.try_element_at(names, t), F.concat(F.upper(F.left(t, F.lit(1))), F.substring(t, 2, 10_000)))
+    return F.transform(F.split(F.trim(token), "/"), lambda t: one(F.trim(t)))
+
+
+def staged_target(path: Column, staging: Column, book: Column) -> Column:
+    """Where a file staged as ``staging``/type/file goes: records/book/type/file.
+
+    Null for a path that is not exactly that deep or that leaves the folder; ``.`` and ``..`` are
+    resolved first.
+    """
+    parts = F.filter(F.split(path, "/"), lambda p: (p != "") & (p != "."))
+    step = lambda acc, p: F.when(p != "..", F.concat(acc, F.array(p))).when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(F.array(F.lit("..")))
+    real = F.aggregate(parts, F.array().cast("array<string>"), step)
+    root = F.filter(F.split(staging, "/"), lambda p: (p != "") & (p != "."))
+    depth = F.size(root)
+    inside = (F.size(real) == depth + 2) & (F.slice(real, 1, depth) == root) & (F.startswith(path, F.lit("/")) == F.startswith(staging, F.lit("/")))
+    return F.when(inside, F.concat_ws("/", F.lit("records"), book, F.get(real, depth), F.get(real, depth + 1)))
+
+
+def shown_list(values: Column) -> Column:
+    """Non-empty values joined by commas; null if there is none."""
+    some = F.filter(values, lambda v: v.isNotNull() & (v != ""))
+    return F.when(F.size(some) > 0, F.array_join(some, ", "))
+
+
+def shown_pairs(names: list[str], value: Column) -> Column:
+    """The non-empty fields of a struct as ``name: value``, joined by commas; null if there is none."""
+    one = lambda n: F.when(value[n].isNotNull() & (value[n].cast("string") != ""), F.concat(F.lit(f"{n}: "), value[n].cast("string")))
+    return shown_list(F.array(*map(one, names)))
+
+
+def shown_objects(names: list[str], values: Column) -> Column:
+    """Structs of a list, each as its non-empty fields joined by spaces; joined by commas."""
+    one = lambda v: F.concat_ws(" ", *(F.when(v[n].cast("string") != "", v[n].cast("string")) for n in names))
+    return shown_list(F.transform(F.filter(values, lambda v: v.isNotNull()), one))
+
+
+def level_of(values: Column, list_name: Column) -> Column:
+    """The number after ``list_name`` in the first combined value (as in Cleric 3) that has one."""
+    prefix = F.concat(list_name, F.lit(" "))
+    levels = F.transform(F.filter(values, lambda v: F.startswith(v, prefix)), lambda v: F.substring(v, F.length(prefix) + 1, F.lit(100)).try_cast("int"))
+    return F.get(F.filter(levels, lambda n: n.isNotNull()), F.lit(0))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions import jsons
+
 
 def match_candidates(cases: DataFrame, candidates: DataFrame, case_id: str = "case_id") -> tuple[DataFrame, DataFrame]:
     """Each case with its candidate, if exactly one names it; and counts of extra and duplicate candidates.
@@ -48,3 +50,20 @@ def summary(scores: DataFrame, totals: DataFrame, reviewed: bool) -> DataFrame:
     )
     both = one.join(F.broadcast(totals))  # one row each
     return both.withColumn("release_ready", F.lit(reviewed) & F.coalesce("_all", F.lit(False)) & (F.col("extra") == 0) & (F.col("duplicates") == 0)).drop("_all")
+
+
+def browse(scores: DataFrame, coverage: DataFrame, candidate: str, kind: str | None = None, pointer: str | None = None, equals: str | None = None) -> DataFrame:
+    """Passing candidates (a variant) of a type whose value at ``pointer`` is ``equals`` (JSON text), with the run's coverage.
+
+    ``pointer`` and ``equals`` come together; a pointer that leads nowhere keeps nothing.  The
+    coverage is one row and is of the whole run, whatever is filtered.
+    """
+    if (pointer is None) != (equals is None):
+        raise ValueError("pointer and equals come together")
+    passed = scores.filter("passed")
+    if kind is not None:
+        passed = passed.filter(F.try_variant_get(candidate, "$.type", "string") == kind)
+    if pointer is not None:
+        value = jsons.resolve(F.col(candidate), pointer)
+        passed = passed.filter(value.isNotNull() & jsons.typed_equal(value, F.parse_json(F.lit(equals))))
+    return passed.join(F.broadcast(coverage))  # one row

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import entries, sourcetext, workqueue
+from lectern.functions import text as T
+from lectern.operators import entries, evals, sourcetext, statblocks, workqueue
 from lectern.plans.registry import query, table
 
 
@@ -158,3 +159,79 @@ def stuck_escalation(spark, sf):
     attempts = F.when(m == 1, F.array(one(tier, "validation"))).when(m == 2, F.array(one(tier, "needs_context"))).when(m == 3, F.array(one(tier, "needs_context"), one(tier, "needs_context"))).otherwise(F.array(one(tier + 1, "validation")))
     queue = table(spark, sf, "orders").select(k.alias("seg_id"), tier.alias("tier"), F.lit("pending").alias("status"), attempts.alias("attempts"))
     return workqueue.escalate_stuck(queue).select("seg_id", "tier", "status")
+
+
+@query("""
+SELECT c_custkey AS id, concat_ws('; ', CASE WHEN m = 1 THEN 'attack is off at level 2' END, CASE WHEN m = 5 THEN 'fort is off at level 3' END, CASE WHEN m = 0 THEN 'level table is not found' END, CASE WHEN m = 4 THEN 'levels have a gap' END,
+ CASE WHEN m = 3 THEN 'no column of level 0 spells' END, CASE WHEN m = 2 THEN 'no feature for greater rage' END) AS errors FROM (SELECT c_custkey, c_custkey % 7 AS m FROM customer)""")
+def class_level_tables(spark, sf):
+    m = F.col("id") % 7
+    ids = table(spark, sf, "customer").select(F.col("c_custkey").cast("bigint").alias("id"))
+    feature = lambda n, k: F.struct(F.lit(n).alias("name"), F.lit(k).alias("level"), F.lit("what it does").alias("text_md"))
+    saves = F.struct(F.lit("good").alias("fort"), F.lit("poor").alias("ref"), F.lit("poor").alias("will"))
+    own = {"level_table": F.concat(F.lit("t"), "id"), "tables": F.array(F.concat(F.lit("t"), "id")), "max_level": F.lit(3), "attack": F.lit("good"), "saves": saves, "features": F.array(feature("Rage", 1), feature("Spells", None)), "caster": F.lit(True), "base": F.lit(True)}
+    head = F.array(*map(F.lit, ["Level", "Base Attack Bonus", "Fort Save", "Ref Save", "Will Save", "Special"]), F.when(m == 3, "Spells per Day 1st").otherwise("Spells per Day 0"), F.lit("Spells per Day 5th"))
+    row = lambda *cells: F.array(*(F.lit(c) if isinstance(c, str) else c for c in cells), F.lit("1"), F.lit("—"))
+    rows = F.array(
+        row("1st", "+1", "+2", "+0", "+0", "Rage 1/day"),
+        row("2nd", F.when(m == 1, "+3").otherwise("+2"), "+3", "+0", "+0", F.when(m == 2, "Greater rage").otherwise("—")),
+        row(F.when(m == 4, "4th").otherwise("3rd"), F.when(m == 4, "+4").otherwise("+3"), F.when(m == 4, "+4").when(m == 5, "+9").otherwise("+3"), "+1", "+1", "Rage 2/day"),
+    )
+    tables = ids.filter(m != 0).select(F.concat(F.lit("t"), "id").alias("id"), head.alias("columns"), rows.alias("rows"))
+    out = statblocks.class_table_errors(ids.withColumns(own), tables)
+    return out.select("id", F.array_join("errors", "; ").alias("errors"))
+
+
+@query("""
+SELECT c_custkey, concat_ws('; ', CASE WHEN m = 1 THEN 'size is unknown' END, CASE WHEN m = 2 THEN 'type is unknown' END, CASE WHEN m = 3 THEN 'subtype is unknown: Purple' END, CASE WHEN m = 4 THEN 'group and variant go together' END, CASE WHEN m = 5 THEN 'name is not group and variant' END) AS errors
+FROM (SELECT c_custkey, c_custkey % 6 AS m FROM customer)""")
+def monster_classification(spark, sf):
+    m = F.col("c_custkey") % 6
+    subtypes = F.array(F.lit("EVIL"), F.lit("Augmented Magical Beast"), F.when(m == 3, "Purple").otherwise("tanar'ri"))
+    errors = F.concat(
+        statblocks.classification_errors(F.when(m == 1, "small").otherwise("Small"), F.when(m != 2, "Outsider"), subtypes),
+        statblocks.group_errors(F.when(m == 5, "Solar").otherwise("angel, Solar "), F.when(m != 4, "Angel"), F.lit("Solar")),
+    )
+    return table(spark, sf, "customer").select("c_custkey", F.array_join(errors, "; ").alias("errors"))
+
+
+@query("SELECT p_partkey AS id, p_size < 25 AS bumped FROM part WHERE p_partkey % 3 = 0 OR p_size % 2 = 0")
+def stale_records(spark, sf):
+    """Versions by key: missing for every third, old for even sizes, current otherwise."""
+    k, n = F.col("p_partkey"), F.col("p_size")
+    version = F.when(k % 3 != 0, F.when(n % 2 == 0, 1).otherwise(2))
+    errors = F.when(n < 25, F.array().cast("array<string>")).otherwise(F.array(F.lit("size is too large")))
+    rows = table(spark, sf, "part").select(k.alias("id"), F.lit("spell").alias("type"), version.alias("schema_version"), errors.alias("errors_at_current"))
+    types = spark.range(1).select(F.lit("spell").alias("type"), F.lit(2).alias("version"))
+    return statblocks.stale(rows, types).select("id", "bumped")
+
+
+@query("""
+WITH s AS (SELECT event_id, event_type AS t, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id % 3 <> 0 AS passed FROM events)
+SELECT event_id, n AS cases FROM s, (SELECT count(*)::BIGINT AS n FROM s) WHERE passed AND t = 'click' AND k = 7""")
+def browse_evaluated(spark, sf):
+    record = F.concat(F.lit('{"type": "'), "event_type", F.lit('", "fields": '), "props", F.lit("}"))
+    scores = table(spark, sf, "events").select("event_id", F.parse_json(record).alias("candidate"), (F.col("event_id") % 3 != 0).alias("passed"))
+    return evals.browse(scores, scores.agg(F.count(F.lit(1)).alias("cases")), "candidate", "click", "/fields/k", "7").select("event_id", "cases")
+
+
+@query("""
+SELECT c_custkey, CASE m WHEN 0 THEN 'Sorcerer,Wizard' WHEN 1 THEN 'Cleric' WHEN 2 THEN 'Death' ELSE 'Adept,Druid,Hexblade' END AS classes,
+ CASE WHEN m = 3 THEN NULL ELSE 'records/b/spell/' || c_custkey || '.json' END AS target,
+ 'Cleric ' || c_nationkey || ', ' || c_mktsegment AS shown, CASE WHEN m = 1 THEN NULL ELSE c_nationkey END AS level
+FROM (SELECT *, c_custkey % 4 AS m FROM customer)""")
+def record_text_functions(spark, sf):
+    """Class abbreviations, staged paths, values as shown, levels in combined values."""
+    m, key = F.col("c_custkey") % 4, F.col("c_custkey").cast("string")
+    token = F.when(m == 0, "Sor/Wiz").when(m == 1, " Clr").when(m == 2, "death").otherwise("Adp/Drd/hexblade")
+    path = F.when(m == 0, F.concat(F.lit("stage/b/s/spell/"), key, F.lit(".json"))).when(m == 1, F.concat(F.lit("stage/b/./s/x/../spell/"), key, F.lit(".json"))).when(m == 2, F.concat(F.lit("stage//b/s/spell/"), key, F.lit(".json"))).otherwise(F.concat(F.lit("stage/b/s/../spell/"), key, F.lit(".json")))
+    pair = lambda a, b: F.struct(a.cast("string").alias("class"), b.cast("string").alias("level"))
+    objects = F.array(pair(F.lit("Cleric"), F.col("c_nationkey")), pair(F.lit(""), F.lit(None)), pair(F.col("c_mktsegment"), F.lit("")))
+    values = F.array(F.when(m == 1, "Clerics 3").otherwise("Cleric x"), F.concat(F.when(m == 1, "Bard ").otherwise("Cleric "), F.col("c_nationkey").cast("string")))
+    return table(spark, sf, "customer").select(
+        "c_custkey",
+        F.array_join(T.expand_class(token), ",").alias("classes"),
+        T.staged_target(path, F.lit("stage/b/s"), F.lit("b")).alias("target"),
+        T.shown_objects(["class", "level"], objects).alias("shown"),
+        T.level_of(values, F.lit("Cleric")).alias("level"),
+    )
