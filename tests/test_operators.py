@@ -216,3 +216,5 @@ def test_canonicalisation_passes(spark):
     assert [r.entry for r in out["unmatched"].collect()] == ["e3"] and got["a2"].applied_overrides == ["e4"]
     assert [r.id for r in out["dangling"].collect()] == ["a4"]
     assert canon.detail(out["records"], "spell", "light").first().variants == ["c1", "a1"]
+    told = {(r.counter, r.type): r.n for r in canon.counters(spark.createDataFrame([*rows, rows[0]], ddl), spark.createDataFrame(rows, ddl), out["records"], out["unmatched"], out["dangling"]).collect()}
+    assert told == {("loaded", "spell"): 3, ("loaded", "class"): 1, ("loaded", "table"): 2, ("loaded", "rules_section"): 2, ("skipped", None): 1, ("superseded", None): sum(r.superseded_by is not None for r in got.values()), ("variants", None): 3, ("overrides", None): 3, ("unmatched", None): 1, ("dangling", None): 1}

@@ -146,3 +146,18 @@ def test_superseding_by_heading_parents_and_lists(spark):
     assert got == {"c": ["e1", "e3"], "t5": ["e5"]}
     told = {r.entry: r.candidates for r in missed.collect()}
     assert told["e4"] == ["f3"] and set(told) == {"e2", "e4"} and len(told["e2"]) == 5
+
+
+def test_class_paragraphs(spark):
+    plain = "plain words in a long line that is not a heading at all"
+    rows = stream(
+        spark,
+        (1, "prose", "BARDS", 1, 12.0), (1, "prose", plain, 1, 10.0),
+        (2, "prose", plain, 1, 10.0), (2, "prose", "MONK", 1, 12.0), (2, "prose", plain, 1, 10.0),
+        (3, "prose", "EX-BARDS", 1, 12.0), (3, "prose", plain, 1, 10.0), (3, "prose", "Table 1-2: The Bard", 1, 10.0), (3, "table", "a\tb", 1, 10.0), (3, "prose", "OTHER", 1, 12.0),
+    )
+    spans = spark.createDataFrame([("b", "bard", "class", "Bard", 1, 3), ("b", "monk", "class", "Monk", 2, 3), ("b", "cook", "class", "Cook", 1, 1)], "book string, seg_id string, kind string, heading string, low int, high int")
+    got = {}
+    for r in entries.class_paragraphs(spans, rows, F.lit(10.0)).collect():
+        got.setdefault((r.seg_id, r.part), []).append(r.pos)
+    assert {k: sorted(v) for k, v in got.items()} == {("bard", "range"): [0, 1, 2], ("bard", "tail"): [5, 6], ("bard", "table"): [7, 8], ("monk", "range"): [3, 4, 5, 6, 7, 8, 9], ("cook", "pages"): [0, 1]}
