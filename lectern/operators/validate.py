@@ -26,19 +26,29 @@ def all_errors(*checks: Column) -> Column:
     return F.array_sort(F.concat(*checks))
 
 
-def schema_errors(value: Column, schema: dict, path: str = "$", depth: int = 0) -> Column:
+def schema_errors(value: Column, schema: dict, path: str | Column = "$") -> Column:
     """Messages for a variant against the used part of JSON Schema.
 
     type, enum, const, required, properties, additionalProperties, items, minimum, maximum,
-    minLength, minItems, allOf and if/then are compiled to expressions.
+    minLength, minItems, allOf and if/then are compiled to expressions.  A value, its type and its
+    keys are bound once for all checks on them.
     """
-    kind = F.schema_of_variant(value)
-    here = path if isinstance(path, Column) else F.lit(path)
+    needed = {"v": value}
+    if "type" in schema or "minLength" in schema:
+        needed["kind"] = F.schema_of_variant(value)
+    if any(k in schema for k in ("required", "properties", "additionalProperties", "allOf")):
+        needed["keys"] = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+    once = F.array(F.struct(*(c.alias(n) for n, c in needed.items())))
+    return F.flatten(F.transform(once, lambda x: _schema_errors({n: x[n] for n in needed}, schema, path)))
+
+
+def _schema_errors(at: dict[str, Column], schema: dict, path: str | Column) -> Column:
+    value, here = at["v"], path if isinstance(path, Column) else F.lit(path)
     say = lambda what: F.concat(here, F.lit(f": {what}"))
     out = []
     if "type" in schema:
         wanted = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
-        out.append(check(value.isNull() | ~kind.rlike("^(" + "|".join(KINDS[w] for w in wanted) + ")$"), say("is not of type " + " or ".join(wanted))))
+        out.append(check(value.isNull() | ~at["kind"].rlike("^(" + "|".join(KINDS[w] for w in wanted) + ")$"), say("is not of type " + " or ".join(wanted))))
     for key in ("enum", "const"):
         if key in schema:
             allowed = schema[key] if key == "enum" else [schema[key]]
@@ -49,30 +59,29 @@ def schema_errors(value: Column, schema: dict, path: str = "$", depth: int = 0)
     if "maximum" in schema:
         out.append(check(number > schema["maximum"], say(f"is more than {schema['maximum']}")))
     if "minLength" in schema:
-        out.append(check((kind == "STRING") & (F.length(F.try_variant_get(value, "$", "string")) < schema["minLength"]), say(f"is shorter than {schema['minLength']}")))
+        out.append(check((at["kind"] == "STRING") & (F.length(F.try_variant_get(value, "$", "string")) < schema["minLength"]), say(f"is shorter than {schema['minLength']}")))
     if "minItems" in schema or "items" in schema:
         items = F.try_variant_get(value, "$", "array<variant>")
         if "minItems" in schema:
             out.append(check(F.size(items) < schema["minItems"], say(f"has fewer than {schema['minItems']} items")))
         if schema.get("items"):
-            inner = lambda x, i: schema_errors(x, schema["items"], F.concat(here, F.lit("["), i.cast("string"), F.lit("]")), depth + 1)
+            inner = lambda x, i: schema_errors(x, schema["items"], F.concat(here, F.lit("["), i.cast("string"), F.lit("]")))
             out.append(F.coalesce(F.flatten(F.transform(items, inner)), none()))
-    keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
     for name in schema.get("required", []):
-        out.append(check(~F.array_contains(keys, name), say(f"lacks {name}")))
+        out.append(check(~F.array_contains(at["keys"], name), say(f"lacks {name}")))
     for name, inner_schema in schema.get("properties", {}).items():
-        inner_value = F.try_variant_get(value, f"$['{name}']", "variant")
-        found = schema_errors(inner_value, inner_schema, F.concat(here, F.lit(f".{name}")), depth + 1)
-        out.append(F.when(F.coalesce(F.array_contains(keys, name), F.lit(False)), found).otherwise(none()))
+        found = schema_errors(F.try_variant_get(value, f"$['{name}']", "variant"), inner_schema, F.concat(here, F.lit(f".{name}")))
+        out.append(F.when(F.coalesce(F.array_contains(at["keys"], name), F.lit(False)), found).otherwise(none()))
     if schema.get("additionalProperties") is False:
-        extra = F.array_except(keys, F.array(*map(F.lit, schema.get("properties", {}))).cast(ERRORS))
+        extra = F.array_except(at["keys"], F.array(*map(F.lit, schema.get("properties", {}))).cast(ERRORS))
         out.append(F.coalesce(F.transform(extra, lambda k: F.concat(here, F.lit(": has unknown "), k)), none()))
     for rule in schema.get("allOf", []):
+        # rules on the same value share its keys; what else they need is bound inside
+        part = lambda s: _schema_errors(at, s, path) if "type" not in s and "minLength" not in s else schema_errors(value, s, path)
         if "if" in rule:
-            then = schema_errors(value, rule["then"], path, depth)
-            out.append(F.when(F.size(schema_errors(value, rule["if"], path, depth)) == 0, then).otherwise(none()))
+            out.append(F.when(F.size(part(rule["if"])) == 0, part(rule["then"])).otherwise(none()))
         else:
-            out.append(schema_errors(value, rule, path, depth))
+            out.append(part(rule))
     return F.concat(*out) if out else none()
 
 
