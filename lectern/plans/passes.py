@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions import text as T
-from lectern.operators import entries, evals, sourcetext, statblocks, workqueue
+from lectern.operators import crosslinks, entries, evals, sourcetext, statblocks, workqueue
 from lectern.plans.registry import query, table
 
 
@@ -235,3 +235,13 @@ def record_text_functions(spark, sf):
         T.shown_objects(["class", "level"], objects).alias("shown"),
         T.level_of(values, F.lit("Cleric")).alias("level"),
     )
+
+
+@query("SELECT a.c_custkey AS id, b.c_custkey AS target, 2::BIGINT AS n FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1")
+def cross_links(spark, sf):
+    """Customers whose texts name themselves and, twice, the next one."""
+    name = F.concat(F.lit("Client No "), "c_custkey")
+    following = F.concat(F.lit("Client No "), F.col("c_custkey") + 1)
+    text = F.concat(F.lit("Ask "), following, F.lit(", not "), name, F.lit("; really: "), F.upper(following), F.lit("."))
+    rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.lit("client").alias("type"), name.alias("name"), text.alias("text"))
+    return crosslinks.cross_links(rows, {"client": "client"})

@@ -161,3 +161,19 @@ def test_class_paragraphs(spark):
     for r in entries.class_paragraphs(spans, rows, F.lit(10.0)).collect():
         got.setdefault((r.seg_id, r.part), []).append(r.pos)
     assert {k: sorted(v) for k, v in got.items()} == {("bard", "range"): [0, 1, 2], ("bard", "tail"): [5, 6], ("bard", "table"): [7, 8], ("monk", "range"): [3, 4, 5, 6, 7, 8, 9], ("cook", "pages"): [0, 1]}
+
+
+def test_cross_links(spark):
+    from lectern.operators import crosslinks
+
+    rows = [
+        ("g", "rules", "Grapple", "grapple", "See Improved Grapple. Grapple well, with the feat Light or Light, or the spell Light."),
+        ("i", "feat", "Improved Grapple", "improved-grapple", "Better at grapples; not degrapple. A grapple!"),
+        ("l1", "spell", "Light", "light", None), ("l2", "feat", "Light", "light", "the spell Light"),
+    ]
+    records = spark.createDataFrame(rows, "id string, type string, name string, slug string, text string")
+    links = crosslinks.cross_links(records, {"spell": "spell", "feat": "feat"})
+    assert {(r.id, r.target, r.n) for r in links.collect()} == {("g", "i", 1), ("g", "l2", 1), ("g", "l1", 1), ("i", "g", 1)}
+    assert {r.target: [x.name for x in r.referenced_by] for r in crosslinks.referenced_by(links, records).collect()}["g"] == ["Improved Grapple"]
+    with pytest.raises(ValueError):
+        crosslinks.cross_links(records, {}, longest=1)
