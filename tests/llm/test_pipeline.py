@@ -42,3 +42,43 @@ def test_clashing_and_null_columns(spark):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and out.count() > 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
+
+
+def test_near_duplicates_by_shingles(spark):
+    """Against all pairs; one changed word in a long text moves more than 2 bits of a fingerprint."""
+    import random
+
+    from lectern.llm import shingles
+
+    rng = random.Random(3)
+    draw = lambda n: [rng.choice("alpha beta gamma delta eta theta iota kappa zeta omega".split()) + str(rng.randint(0, 60)) for _ in range(n)]
+    common = draw(20)
+    texts = [None, "", " \n", "one two", "One  TWO", "one two three"]
+    for k in range(25):
+        base = draw(rng.randint(5, 150)) + (common if k % 2 else [])
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 6)):
+            copy = list(base)
+            for _ in range(rng.randint(1, 4)):
+                copy[rng.randrange(len(copy))] = draw(1)[0]
+            texts.append(" ".join(copy))
+    texts += ["long " * 30 + " ".join(common)] * 3
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    sets = {i: frozenset(shingles.shingle_set(None if t is None else t.encode()).tolist()) for i, t in zip(ids, texts)}
+    root = {i: i for i in ids}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in ids:
+        for b in ids:
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.dedup_stage(spark, docs, SF).collect())
+    assert got == sorted({top(i) for i in ids})
+    assert len(got) < len(set(map(frozenset, sets.values())))
