@@ -41,6 +41,12 @@ SPELLINGS = [
     ("recognis", "recogniz"),
     ("utilis", "utiliz"),
     ("whilst", "while"),
+    # notices that say the same in other words
+    ("made available under", "licensed under"),
+    ("available under", "licensed under"),
+    ("released under", "licensed under"),
+    ("distributed under", "licensed under"),
+    ("this work is licensed under", "licensed under"),
 ]
 
 # Known licence texts and one-line notices.
@@ -70,7 +76,7 @@ NOTICES = {
     "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
 }
 #: Every notice has it, in any spelling; lines without it are no notice.
-CUE = "licen[cs]"
+CUE = "licen[cs]|(released|distributed|available)[^a-z0-9]+under"
 
 
 def canonical(text: Column) -> Column:

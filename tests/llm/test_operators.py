@@ -392,6 +392,24 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(empty).count() == 0 and licenses.scan(docs).count() == docs.count()
 
 
+def test_every_licence_line_of_the_tables(spark):
+    """Forms and identifiers written out here: the query's SQL shares its known lines."""
+    forms = {
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Released under the MIT License.": "MIT",
+    }
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).filter("lower(line) RLIKE 'licen[cs]'").distinct()
+    assert {r.line for r in lines.collect()} == set(forms)
+    want = {"Distributed under the MIT License": "MIT", "This work is made available under CC BY 4.0.": "CC-BY-4.0", "released  under CC BY-NC 4.0": "CC-BY-NC-4.0", "GNU": ""} | forms
+    got = licenses.scan(frame(spark, [(i, f"x\n{t}\ny", "", "") for i, t in enumerate(want)])).collect()
+    assert {r.doc_id: r.line_licenses for r in got} == dict(enumerate(want.values()))
+    n = licenses.scan(docs).agg(F.sum("n_license_lines")).first()[0]
+    assert n == 262
+
+
 # packing
 
 
