@@ -61,17 +61,33 @@ def flatten_pointers(records: DataFrame, id_col: str, pointer: str, max_rounds:
 
 
 def closure(edges: DataFrame, seeds: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """(seed, id) of every record reachable from a seed over ``src``-``dst`` links, the seed excluded; safe on cycles."""
-    both = edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
-    seen = cut_lineage(seeds.select(F.col("id").alias("seed"), "id"))
-    front = seen
+    """(seed, id) of every record reachable from a seed over ``src``-``dst`` links, the seed excluded; safe on cycles.
+
+    Links go both ways, so what a seed reaches is its component.  Components shrink to their
+    smallest member in rounds that grow with the logarithm of their size (large star, small star).
+    """
+    edges = edges.filter("src IS NOT NULL AND dst IS NOT NULL AND src != dst")
+    live, mark = _star_links(edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct())
     for _ in range(max_rounds):
-        step = front.join(both, F.col("id") == F.col("src")).select("seed", F.col("dst").alias("id")).distinct()
-        front = cut_lineage(step.join(seen, ["seed", "id"], "left_anti"))
-        if front.isEmpty():
+        both = live.union(live.select("b", "a"))
+        least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).withColumn("m", F.least("u", "m"))
+        large = both.filter("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        down = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        moved = large.join(down, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
+        live, now = _star_links(moved.union(down.select("u", "m")).distinct())
+        if now == mark:
             break
-        seen = cut_lineage(seen.union(front))
-    return seen.filter("seed != id")
+        mark = now
+    else:
+        raise RuntimeError(f"closure did not settle in {max_rounds} rounds")
+    members = live.select(F.col("a").alias("id"), F.col("b").alias("root")).union(live.select("b", "b").distinct())
+    found = seeds.select(F.col("id").alias("seed")).distinct().join(members.select(F.col("id").alias("seed"), "root"), "seed")
+    return found.join(members, "root").filter("seed != id").select("seed", "id")
+
+
+def _star_links(links: DataFrame) -> tuple[DataFrame, tuple]:
+    out = cut_lineage(links)
+    return out, tuple(out.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
 def ordered_list(owners: DataFrame, owner_id: str, ids: str, things: DataFrame, thing_id: str, show: Column, pending: Column) -> DataFrame:

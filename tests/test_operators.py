@@ -218,3 +218,10 @@ def test_canonicalisation_passes(spark):
     assert canon.detail(out["records"], "spell", "light").first().variants == ["c1", "a1"]
     told = {(r.counter, r.type): r.n for r in canon.counters(spark.createDataFrame([*rows, rows[0]], ddl), spark.createDataFrame(rows, ddl), out["records"], out["unmatched"], out["dangling"]).collect()}
     assert told == {("loaded", "spell"): 3, ("loaded", "class"): 1, ("loaded", "table"): 2, ("loaded", "rules_section"): 2, ("skipped", None): 1, ("superseded", None): sum(r.superseded_by is not None for r in got.values()), ("variants", None): 3, ("overrides", None): 3, ("unmatched", None): 1, ("dangling", None): 1}
+
+
+def test_closure_of_a_long_chain(spark):
+    """120 links, more than the rounds."""
+    edges = spark.range(1, 121).selectExpr("id src", "id - 1 dst")
+    got = resolve.closure(edges, spark.createDataFrame([(0,), (60,)], "id long")).collect()
+    assert sorted((r.seed, r.id) for r in got) == [(s, i) for s in (0, 60) for i in range(121) if i != s]
