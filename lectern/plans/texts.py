@@ -142,6 +142,16 @@ def normalize_heading(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.heading_key(x).alias("key"), F.array_join(T.heading_tokens(x), " ").alias("tokens"))
 
 
+@query(rf"""
+WITH l AS ({_LINES}),
+n AS (SELECT doc_id, pos, lower(regexp_replace(line, '\([^()]*\)', '', 'g')) AS y FROM l)
+SELECT doc_id, pos::INT AS pos, regexp_replace(y, '[^\p{{L}}\p{{N}}]+', '', 'g') AS key, trim(regexp_replace(y, '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS tokens FROM n""")
+def normalize_heading_lines(spark, sf):
+    """Whole lines, all of each text."""
+    each = cleanup.lines(table(spark, sf, "documents"), "doc_id", "text")
+    return each.select("doc_id", "pos", T.heading_key(F.col("line")).alias("key"), F.array_join(T.heading_tokens(F.col("line")), " ").alias("tokens"))
+
+
 @query("""
 SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || ' ' || 'ability' WHEN 1 THEN p_name || ' body' WHEN 2 THEN p_name || ' glass' ELSE p_name || ' box' END AS token FROM part""")
 def special_token_norm(spark, sf):

@@ -225,3 +225,11 @@ def test_closure_of_a_long_chain(spark):
     edges = spark.range(1, 121).selectExpr("id src", "id - 1 dst")
     got = resolve.closure(edges, spark.createDataFrame([(0,), (60,)], "id long")).collect()
     assert sorted((r.seed, r.id) for r in got) == [(s, i) for s in (0, 60) for i in range(121) if i != s]
+
+
+def test_headings_normalised_after_forty_characters(spark, tmp_path):
+    from lectern.plans import texts
+
+    spark.createDataFrame([(1, "word " * 12 + "(note) End\nSecond: Line")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = texts.normalize_heading_lines(spark, str(tmp_path)).orderBy("pos").collect()
+    assert [(r.pos, r.key, r.tokens) for r in got] == [(0, "word" * 12 + "end", "word " * 12 + "end"), (1, "secondline", "second line")]
