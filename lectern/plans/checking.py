@@ -79,19 +79,23 @@ _CONTAINS = "SELECT item_id, doc_id FROM (SELECT item_id, text AS b, substr(text
 
 
 def benchmark_in_documents(spark, sf):
-    """(item_id, doc_id, b, t): documents that hold a benchmark text, by a join on its first five words.
+    """(item_id, doc_id, b, t): documents that hold a benchmark text, by a join on its second to sixth words.
 
-    Every position of a document where these words could stand is one row, so the join is an
-    equi-join; the whole text is then compared.
+    The first and last token of an item may be glued to other text in a document; the inner ones
+    stand there as they are.  Every position of a document where these words could stand is one
+    row, so the join is an equi-join; the whole text is then compared.  Items of fewer than seven
+    words have too few inner ones and are compared with every document.
     """
-    five = lambda c: F.regexp_extract(c, r"^(\S+(?:\s+\S+){4})", 1)
-    items = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("b"), F.regexp_replace(five(F.col("text")), r"\s+", " ").alias("key")).filter("key != ''")
+    split = lambda c: F.filter(F.split(c, r"\s+", -1), lambda w: w != "")
+    items = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("b"), split("text").alias("w"))
+    long = items.filter("size(w) >= 7").select("item_id", "b", F.array_join(F.slice("w", 2, 5), " ").alias("key"))
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("t"))
-    words = F.filter(F.split("t", r"\s+", -1), lambda w: w != "")
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 4, F.lit(1))), lambda i: F.array_join(F.slice(F.col("w"), i, F.lit(5)), " "))
-    starts = docs.withColumn("w", words).select("doc_id", F.explode(F.array_distinct(grams)).alias("key"))
-    pairs = starts.join(items.select("item_id", "key"), "key").select("item_id", "doc_id").distinct()
-    return pairs.join(items.select("item_id", "b"), "item_id").join(docs, "doc_id").filter(F.contains("t", "b"))
+    starts = docs.withColumn("w", split("t")).select("doc_id", F.explode(F.array_distinct(grams)).alias("key"))
+    pairs = starts.join(long.select("item_id", "key"), "key").select("item_id", "doc_id").distinct()
+    found = pairs.join(long.select("item_id", "b"), "item_id").join(docs, "doc_id").filter(F.contains("t", "b")).select("item_id", "doc_id", "b", "t")
+    short = items.filter("size(w) < 7").select("item_id", "b")
+    return found.union(docs.join(short, F.contains("t", "b")).select("item_id", "doc_id", "b", "t"))
 
 
 @query(_CONTAINS)

@@ -227,6 +227,16 @@ def test_closure_of_a_long_chain(spark):
     assert sorted((r.seed, r.id) for r in got) == [(s, i) for s in (0, 60) for i in range(121) if i != s]
 
 
+def test_benchmark_items_glued_and_short(spark, tmp_path):
+    from lectern.plans import checking
+
+    long = "one two three four five six seven eight"
+    spark.createDataFrame([(1, long), (2, "tiny item"), (3, "not there at all in any of them")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, f'said "{long}" twice'), (2, f"x {long} y"), (3, "a (tiny item)"), (4, "one two three")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = checking.cells_traceable(spark, str(tmp_path)).collect()
+    assert sorted((r.item_id, r.doc_id) for r in got) == [(1, 1), (1, 2), (2, 3)]
+
+
 def test_headings_normalised_after_forty_characters(spark, tmp_path):
     from lectern.plans import texts
 
