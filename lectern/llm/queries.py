@@ -51,7 +51,7 @@ def word_tokenizer() -> str:
 
 
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), tokenizer=word_tokenizer(), with_ids=False)
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer=word_tokenizer()).drop("ids")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

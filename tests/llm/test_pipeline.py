@@ -82,3 +82,17 @@ def test_near_duplicates_by_shingles(spark):
     got = sorted(r.doc_id for r in corpus_pipeline.dedup_stage(spark, docs, SF).collect())
     assert got == sorted({top(i) for i in ids})
     assert len(got) < len(set(map(frozenset, sets.values())))
+
+
+def test_packed_pieces_hold_their_ids(spark):
+    import zlib
+
+    import numpy as np
+
+    from lectern.llm import packing
+
+    placed = corpus_pipeline.pack_stage(spark, table(spark, SF, "documents").limit(40), SF)
+    rows = placed.collect()
+    assert rows and all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 for r in rows)
+    made = packing.sequences(placed).collect()
+    assert sum(r.tokens for r in made) == sum(r.length for r in rows)
