@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lectern.llm.common import local_table, pick
 
 #: Lines of a copyright statement, in lower case.
-COPYRIGHT = r"(?m)^[\x20\x09]*(copyright|\(c\)|©|copr\.|all rights reserved)[^\n]*$"
+COPYRIGHT = r"(?m)^[\x20\x09]*(copyright(?![\x20\x09]+(?:notices?|holders?|owners?|laws?|statements?|licenses?)\b)|\(c\)|©|copr\.|all rights reserved)[^\n]*$"
 
 # Equivalent spellings, in lower case and without punctuation.
 SPELLINGS = [
@@ -75,6 +75,15 @@ NOTICES = {
     "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
     "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
 }
+#: Title lines with which the texts are published.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License"],
+}
 #: Every notice has it, in any spelling; lines without it are no notice.
 CUE = "licen[cs]|(released|distributed|available)[^a-z0-9]+under"
 
@@ -96,8 +105,21 @@ def known(spark, texts: dict[str, str]) -> DataFrame:
     return local_table(spark, [{"license_id": k, "text": t} for k, t in texts.items()], "license_id string, text string").select("license_id", digest(F.col("text")).alias("digest"))
 
 
-def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, license_digest, license_id of the entire text, licenses of its notice lines, their number."""
+def variants(spark) -> DataFrame:
+    """(license_id, text): the known texts with and without their titles, and the notices."""
+    rows = []
+    for k, t in KNOWN.items():
+        bare = t.removeprefix("MIT License\n")
+        rows += [{"license_id": k, "text": x} for x in (bare, *(f"{title}\n{bare}" for title in TITLES[k]))]
+    rows += [{"license_id": f"{k} notice", "text": t} for k, t in NOTICES.items()]
+    return local_table(spark, rows, "license_id string, text string")
+
+
+def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", known_texts: DataFrame | None = None) -> DataFrame:
+    """Per row: id, license_digest, license_id of the entire text, licenses of its notice lines, their number.
+
+    ``known_texts`` (license_id, text) are further whole texts, any number of variants of each.
+    """
     spark = docs.sparkSession
     docs = pick(docs, id_col, text_col)
     notices = {r.digest: r.license_id for r in known(spark, NOTICES).collect()}  # as many as NOTICES
@@ -105,7 +127,11 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1), lambda x: F.lower(x).rlike(CUE))
     found = F.filter(F.transform(lines, lambda x: F.element_at(by_digest, digest(x))), lambda x: x.isNotNull())
     rows = docs.select(F.col(id_col), digest(F.col(text_col)).alias("license_digest"), found.alias("_lines"))
-    whole = F.broadcast(known(spark, KNOWN | {f"{k} notice": t for k, t in NOTICES.items()}))
+    texts = variants(spark)
+    if known_texts is not None:
+        texts = texts.union(known_texts.select("license_id", "text"))
+    # one row a digest: of licences with the same text the first name
+    whole = F.broadcast(texts.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license_id").alias("license_id")).filter(F.col("digest") != F.sha2(F.lit(""), 256)))
     joined = rows.join(whole, rows["license_digest"] == whole["digest"], "left")
     return joined.select(id_col, "license_digest", "license_id", F.array_join(F.array_sort(F.array_distinct("_lines")), ",").alias("line_licenses"), F.size("_lines").cast("long").alias("n_license_lines"))
 

@@ -410,6 +410,15 @@ def test_every_licence_line_of_the_tables(spark):
     assert n == 262
 
 
+def test_whole_licences_with_titles_wrapping_and_a_table(spark):
+    isc = licenses.KNOWN["ISC"].replace("the above copyright", "the above\ncopyright")
+    bsd = licenses.KNOWN["BSD-3-Clause"]
+    rows = [(0, "ISC License\n\nCopyright (c) 2020, A B\n\n" + isc), (1, isc), (2, "BSD 3-Clause License\n\nCopyright 2021 A B\nAll rights reserved.\n\n" + bsd), (3, licenses.KNOWN["MIT"].partition("\n")[2]), (4, "OWN LICENCE, text two"), (5, "")]
+    own = spark.createDataFrame([("own", "Own license: text one"), ("own", "Own license text two"), ("none", "")], "license_id string, text string")
+    got = licenses.scan(frame(spark, [(i, t, "", "") for i, t in rows]), known_texts=own).collect()
+    assert {r.doc_id: r.license_id for r in got} == {0: "ISC", 1: "ISC", 2: "BSD-3-Clause", 3: "MIT", 4: "own", 5: None}
+
+
 # packing
 
 
