@@ -21,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 
 _scratch: dict[str, str] = {}
+#: Keys that :func:`spread_join` splits, at most.
+HOT_KEYS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; one of our own only where it names none."""
+    """The shared folder that the cluster names; one of our own only in local mode, where it names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _scratch:
         _scratch[app] = "file://" + tempfile.mkdtemp(prefix="lectern-")
@@ -49,6 +53,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean_scratch(spark: SparkSession, older_than_s: float = 0) -> int:
+    """Delete this library's tables from the shared folder; how many.  Lazy results that read them must be done with."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    now = jvm.java.lang.System.currentTimeMillis()
+    old = [s.getPath() for s in (fs.listStatus(top) if fs.exists(top) else []) if s.getPath().getName().startswith("lectern-") and now - s.getModificationTime() >= 1000 * older_than_s]
+    return sum(fs.delete(p, True) for p in old)
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``facts``, which has one row a key and, as ``count``, the number of rows with it.
+
+    A key with more than a ``HOT_KEYS``-th of all rows (and 1,000) is dealt to several groups: its
+    fact is repeated for each.  There are at most ``HOT_KEYS`` such keys, whatever the data, so
+    their table is broadcast.  Drops ``count``.
+    """
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    limit = max(1_000, -(-total // HOT_KEYS))
+    parts = F.ceil(F.col(count) / limit).cast("int")
+    hot = facts.filter(F.col(count) > limit).select(F.col(key).alias("_hot"), parts.alias("_parts"))  # at most HOT_KEYS rows
+    if hot.isEmpty():
+        return rows.join(facts.drop(count), key, how)
+    dealt = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*rows.columns), F.col("_parts"))).otherwise(0).cast("int")).drop("_hot", "_parts")
+    each = facts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.when(F.col(count) > limit, parts).otherwise(1)) - 1))).drop(count)
+    return dealt.join(each, [key, "_part"], how).drop("_part")
+
+
 def local_table(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
     """A small table as an inline literal, without any RDD."""
     text = F.lit(json.dumps(rows))

@@ -1,8 +1,8 @@
 """Personal data by weak supervision: labelers vote, EM weighs them, a span classifier decides.
 
 Patterns give candidate spans: the base kinds (email, ip, card, phone), which always stay, and
-looser ones (``mail``: spelled-out addresses, ``tel``: national numbers), which must be found
-likely.  Three labelers vote on every candidate, for, against or not at all: a regex labeler on
+looser ones (``mail``: spelled-out addresses, ``tel``: national numbers, ``ssn``: social security
+numbers, ``name``: persons by title, ``street``: house and street), which must be found likely.  Three labelers vote on every candidate, for, against or not at all: a regex labeler on
 its strict form, a gazetteer labeler on known names and ranges, a context labeler on the words
 around it.  Expectation-maximisation over the counts of vote patterns estimates how reliable each
 labeler is and how likely each pattern is personal data.  These probabilities are the labels on
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import materialize, pick, shielded
-from lectern.llm.spans import matches, written
+from lectern.llm.spans import bound, clear_of, matches, replaced, written
 
 LOCAL = "A-Za-z0-9._%+-"
 EMAIL = rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)++"
@@ -31,11 +31,16 @@ IP = r"[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 AT, DOT = r"\x20?[\[(]\x20?at\x20?[\])]\x20?", r"(?:\x20?[\[(]\x20?dot\x20?[\])]\x20?|\.)"
-MAIL = rf"(?<![{LOCAL}])[{LOCAL}]{{1,64}}+{AT}[A-Za-z0-9-]{{1,63}}+{DOT}[A-Za-z]{{2,24}}"
+MAIL = rf"(?<![{LOCAL}])[{LOCAL}]++{AT}[A-Za-z0-9-]++{DOT}[A-Za-z]{{2,}}+"
 TEL = r"(?<![0-9+().\x20-])[(]?[0-9]{3}[)]?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
+SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+TITLE = "Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Mlle|Sr|Sra|Señor|Señora"
+NAME = rf"(?=[MDPHFS])(?<!\p{{L}})(?:{TITLE})\.?\x20\p{{Lu}}\p{{Ll}}++(?:\x20\p{{Lu}}\p{{Ll}}++)?"
+WAY = "Street|Avenue|Road|Boulevard|Lane|Drive|Court|Square|St|Ave|Rd|Blvd|Ln|Ct"
+STREET = rf"(?<![0-9A-Za-z])[0-9]{{1,5}}[A-Za-z]?\x20(?:\p{{Lu}}\p{{Ll}}++\x20){{1,3}}(?:{WAY})(?!\p{{L}})"
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
-KINDS = ["email", "ip", "card", "phone", "mail", "tel"]
+KINDS = ["email", "ip", "card", "phone", "mail", "tel", "ssn", "name", "street"]
 BASE = KINDS[:4]
 SIDES = ["none", "space", "letter", "digit", "other"]
 #: kinds x votes of three labelers x both sides
@@ -51,8 +56,10 @@ CUES = {
     "card": "card|visa|master|credit|payment|carte|karte|tarjeta",
     "phone": "phone|tel|call|mobile|fax|telef|appel",
 }
-CUES |= {"mail": CUES["email"], "tel": CUES["phone"]}
-AGAINST = {"ip": "version|release|section", "card": "isbn|order|serial|invoice", "phone": "score|sum"}
+CUES |= {"mail": CUES["email"], "tel": CUES["phone"], "ssn": "ssn|social security|national id", "name": "dear|signed|sincerely|patient|born|contact|regards", "street": "address|live|located|ship|visit|deliver|zip"}
+GIVEN = "James|Mary|John|Maria|Jane|Anna|Peter|Paul|Robert|Linda|Michael|Sarah|David|Laura|Thomas|Jean|Marie|Pierre|Juan|Carlos|Hans|Karl"
+ROADS = "Main|Park|Oak|High|Church|Elm|Maple|Cedar|Washington|Lake|Hill|Station|King|Queen|Victoria|Mill"
+AGAINST = {"ssn": "isbn|part|model|order", "street": "version|chapter","ip": "version|release|section", "card": "isbn|order|serial|invoice", "phone": "score|sum"}
 
 
 def digits(t: Column) -> Column:
@@ -70,70 +77,75 @@ def luhn(t: Column) -> Column:
     return (n > 0) & (F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.lit(0), add) % 10 == 0)
 
 
-def _strict(kind: str, s: Column) -> Column:
+def _of_kind(s: Column, cases: dict[str, Column], otherwise: Column | None = None) -> Column:
+    out = F
+    for kind, value in cases.items():
+        out = out.when(s["kind"] == kind, value)
+    return out.otherwise(otherwise) if otherwise is not None else out
+
+
+def _strict(s: Column) -> Column:
     t = s["text"]
-    return {
+    return _of_kind(s, {
         "email": t.rlike(r"\.[A-Za-z]{2,24}$"),
         "ip": ~t.rlike(r"(?:^|\.)0[0-9]"),
         "card": ~t.rlike("[ -]") | t.rlike("^[0-9]{4}(?:[ -][0-9]{4}){3}"),
         "phone": F.length(digits(t)).between(10, 13),
         "mail": t.rlike(r"[\])]\x20?[A-Za-z]{2,24}$|\.[A-Za-z]{2,24}$"),
         "tel": t.rlike(r"^[(][0-9]{3}[)]|^[0-9]{3}([.-])[0-9]{3}\1"),
-    }[kind]
+        "ssn": ~t.rlike("^(?:000|666|9)|-00-|-0000$"),
+        "name": t.rlike(r"\x20\p{Lu}\p{Ll}+\x20\p{Lu}"),
+        "street": t.rlike("(?:Street|Avenue|Road|Boulevard|Lane|Drive|Court|Square)$"),
+    })
 
 
-def _listed(kind: str, s: Column) -> Column:
+def _listed(s: Column) -> Column:
     t = s["text"]
-    return {
+    return _of_kind(s, {
         "email": t.rlike(rf"(?i)\.(?:{TOP_LEVEL})$"),
         "ip": ~t.rlike(rf"^(?:{RESERVED})\.|^192\.168\."),
         "card": t.rlike("^[3-6]"),
         "phone": digits(t).rlike(f"^(?:{CALLING})"),
         "mail": t.rlike(rf"(?i)[^A-Za-z](?:{TOP_LEVEL})$"),
         "tel": t.rlike("^[(]?[2-9]"),
-    }[kind]
+        "ssn": t.rlike("^[0-7]"),
+        "name": t.rlike(rf"\x20(?:{GIVEN})(?:\x20|$)"),
+        "street": t.rlike(rf"\x20(?:{ROADS})\x20"),
+    })
 
 
-def _context(kind: str, s: Column) -> Column:
+def _context(s: Column) -> Column:
     near = F.lower(F.concat_ws("\n", s["before"], s["after"]))
-    vote = F.when(near.rlike(CUES[kind]), 1)
-    if kind in AGAINST:
-        vote = vote.when(near.rlike(AGAINST[kind]), 0)
-    return vote.otherwise(-1)
+    return F.when(_of_kind(s, {k: near.rlike(v) for k, v in CUES.items()}), 1).when(_of_kind(s, {k: near.rlike(v) for k, v in AGAINST.items()}), 0).otherwise(-1)
 
 
 def _side(c: Column) -> Column:
     return F.when(c == "", "none").when(c.rlike("^[\\x20\\x09-\\x0D]"), "space").when(c.rlike(r"^\p{L}"), "letter").when(c.rlike("^[0-9]"), "digit").otherwise("other")
 
 
-def _candidates(kind: str, found: Column) -> Column:
-    return F.transform(
-        found,
-        lambda s: F.struct(
-            F.lit(kind).alias("kind"),
-            F.lit(KINDS.index(kind)).alias("rank"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            _strict(kind, s).cast("int").alias("regex"),
-            _listed(kind, s).cast("int").alias("gazetteer"),
-            _context(kind, s).cast("int").alias("context"),
-            _side(F.right(s["before"], F.lit(1))).alias("left"),
-            _side(F.left(s["after"], F.lit(1))).alias("right"),
-        ),
-    )
-
-
 def candidates(text: Column) -> Column:
+    """Structs kind, rank, start, end, votes and sides: base kinds first, then loose ones that overlap no base one."""
+    patterns = [
+        ("email", EMAIL, "@[A-Za-z0-9-]"),
+        ("ip", IP, r"[0-9]\.[0-9]"),
+        ("card", CARD, r"[0-9](?:[\x20-]?[0-9]){15}"),
+        ("phone", PHONE, r"\+[0-9]"),
+        ("mail", MAIL, r"[\[(]\x20?at\x20?[\])]"),
+        ("tel", TEL, r"[0-9]{3}[\x20.-][0-9]{4}"),
+        ("ssn", SSN, "[0-9]-[0-9]{2}-[0-9]"),
+        ("name", NAME, NAME),
+        ("street", STREET, rf"[0-9][A-Za-z]?\x20\p{{Lu}}.{{0,80}}(?:{WAY})"),
+    ]
     long_enough = lambda s, low, high: F.length(digits(s["text"])).between(low, high)
-    base = F.concat(
-        _candidates("email", matches(text, EMAIL, "@[A-Za-z0-9-]")),
-        _candidates("ip", F.filter(matches(text, IP, r"[0-9]\.[0-9]"), lambda s: s["text"].rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$"))),
-        _candidates("card", F.filter(matches(text, CARD, r"[0-9](?:[\x20-]?[0-9]){15}"), lambda s: long_enough(s, 16, 19) & luhn(digits(s["text"])))),
-        _candidates("phone", F.filter(matches(text, PHONE, r"\+[0-9]"), lambda s: long_enough(s, 8, 15))),
-    )
-    loose = F.concat(_candidates("mail", matches(text, MAIL, r"[\[(]\x20?at\x20?[\])]")), _candidates("tel", matches(text, TEL, r"[0-9]{3}[\x20.-][0-9]{4}")))
-    clear = lambda x: F.filter(x["loose"], lambda m: ~F.exists(x["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return F.get(F.transform(F.array(F.struct(base.alias("base"), loose.alias("loose"))), lambda x: F.concat(x["base"], clear(x))), F.lit(0))
+    valid = lambda s: _of_kind(s, {"ip": s["text"].rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$"), "card": long_enough(s, 16, 19) & luhn(digits(s["text"])), "phone": long_enough(s, 8, 15)}, F.lit(True))
+
+    def voted(s: Column) -> Column:
+        votes = {"regex": _strict(s), "gazetteer": _listed(s), "context": _context(s)}
+        sides = {"left": _side(F.right(s["before"], F.lit(1))), "right": _side(F.left(s["after"], F.lit(1)))}
+        return F.struct(*(s[c].alias(c) for c in ("kind", "rank", "start", "end")), *(v.cast("int").alias(k) for k, v in votes.items()), *(v.alias(k) for k, v in sides.items()))
+
+    found = F.transform(F.filter(matches(text, patterns), valid), voted)
+    return bound(found, lambda x: bound(F.filter(x, lambda s: s["rank"] < len(BASE)), lambda base: F.concat(base, clear_of(F.filter(x, lambda s: s["rank"] >= len(BASE)), base))))
 
 
 def em(kinds: np.ndarray, votes: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
@@ -201,9 +213,19 @@ def detect(docs: DataFrame, *, text_col: str = "text", keep: list[str], at_least
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Counts and spans; ``probabilities`` has the classifier's verdict on each of ``spans``, in their order, ``n_likely`` how many it finds likely."""
     base = F.filter("spans", lambda s: s["rank"] < len(BASE))
     number = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
-    return found.select(id_col, *(number(k).alias(f"n_{k}") for k in BASE), F.sha2(written(base, "rank", "start"), 256).alias("base_sha256"), written(F.col("spans"), "rank", "start").alias("spans"))
+    in_order = F.array_sort(F.transform("spans", lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["probability"].alias("p"))))
+    told = F.array_join(F.transform(in_order, lambda s: F.format_string("%.4f", s["p"])), ",")
+    return found.select(
+        id_col,
+        *(number(k).alias(f"n_{k}") for k in BASE),
+        F.sha2(written(base, "rank", "start"), 256).alias("base_sha256"),
+        written(F.col("spans"), "rank", "start").alias("spans"),
+        told.alias("probabilities"),
+        F.size(F.filter("spans", lambda s: s["probability"] >= 0.5)).cast("long").alias("n_likely"),
+    )
 
 
 def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
@@ -214,13 +236,7 @@ def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 def _redacted(docs: DataFrame, text_col: str) -> DataFrame:
     found = detect(docs, text_col=text_col, keep=docs.columns)
     text = F.col(text_col)
-    order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
-
-    clean = F.aggregate(order, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    clean = replaced(text, F.col("spans"), lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
     changed = {text_col: F.when(F.size("spans") > 0, clean).otherwise(text)}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.size("spans") > 0, F.length(clean)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)

@@ -19,37 +19,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import materialize, pick
-from lectern.llm.spans import matches, written
+from lectern.llm.common import materialize, pick, spread_join
+from lectern.llm.spans import bound, clear_of, matches, written
 
 KEYWORD = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
 VALUE = r"[A-Za-z0-9+/_.=-]"
 ASSIGN = KEYWORD + VALUE + "+"
 ACCESS = "AKIA[A-Z0-9]{16,}+"
 HEX = "(?<![0-9a-f])[0-9a-f]{24,}+"
-BLOB = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,200}+(?![A-Za-z0-9+/_-])"
+BLOB = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+(?![A-Za-z0-9+/_-])"
 KINDS = ["assign", "access", "hex", "blob"]
 
 
-def _spans(found: Column, kind: str, value) -> Column:
-    """Structs kind, rank, start, end, hash."""
-    return F.transform(found, lambda s: F.struct(F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), F.sha2(value(s["text"]), 256).alias("hash")))
-
-
 def candidates(text: Column) -> Column:
-    assigned = lambda t: F.regexp_replace(t, "^" + KEYWORD, "")
-    whole = lambda t: t
-    assign = F.filter(matches(text, ASSIGN, KEYWORD + VALUE + "{6}"), lambda s: F.length(assigned(s["text"])) >= 6)
-    base = F.concat(_spans(assign, "assign", assigned), _spans(matches(text, ACCESS), "access", whole), _spans(matches(text, HEX), "hex", whole))
-    mixed = F.filter(matches(text, BLOB), lambda s: s["text"].rlike("[0-9]") & s["text"].rlike("[a-z]") & s["text"].rlike("[A-Z]"))
-    blobs = _spans(mixed, "blob", whole)
-    return F.get(
-        F.transform(
-            F.array(F.struct(base.alias("base"), blobs.alias("more"))),
-            lambda x: F.concat(x["base"], F.filter(x["more"], lambda m: ~F.exists(x["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))),
-        ),
-        F.lit(0),
-    )
+    """Structs kind, rank, start, end, hash; the base kinds first."""
+    found = matches(text, [("assign", ASSIGN, KEYWORD + VALUE + "{6}"), ("access", ACCESS, ACCESS), ("hex", HEX, HEX), ("blob", BLOB, BLOB)])
+    assigned = F.transform(found, lambda s: s.withField("text", F.when(s["kind"] == "assign", F.regexp_replace(s["text"], "^" + KEYWORD, "")).otherwise(s["text"])))
+    mixed = lambda t: t.rlike("[0-9]") & t.rlike("[a-z]") & t.rlike("[A-Z]")
+    wanted = F.filter(assigned, lambda s: F.when(s["kind"] == "assign", F.length(s["text"]) >= 6).when(s["kind"] == "blob", mixed(s["text"])).otherwise(True))
+    hashed = F.transform(wanted, lambda s: F.struct(s["kind"].alias("kind"), s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end"), F.sha2(s["text"], 256).alias("hash")))
+    return bound(hashed, lambda x: bound(F.filter(x, lambda s: s["kind"] != "blob"), lambda base: F.concat(base, clear_of(F.filter(x, lambda s: s["kind"] == "blob"), base))))
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", example_owners: int = 3) -> DataFrame:
@@ -60,11 +49,11 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rep
     rows = pick(docs, id_col, text_col, repo_col, owner_col).select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(repo_col).cast("string").alias("_repo"), F.col(owner_col).cast("string").alias("_owner"), candidates(F.coalesce(F.col(text_col), F.lit(""))).alias("spans"))
     rows = materialize(rows, "secrets")
     each = rows.filter(F.size("spans") > 0).select("_row", "_repo", "_owner", F.inline("spans"))
-    repos = each.select("hash", "_owner", "_repo").distinct()
-    by_owner = repos.groupBy("hash", "_owner").agg(F.count(F.lit(1)).alias("n"))
+    repos = each.groupBy("hash", "_owner", "_repo").agg(F.count(F.lit(1)).alias("times"))
+    by_owner = repos.groupBy("hash", "_owner").agg(F.count(F.lit(1)).alias("n"), F.sum("times").alias("times"))
     # an owner's repositories are its own, so that repositories add up over owners
-    spread = by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repos"))
-    judged = each.join(spread, "hash").withColumn("live", F.col("owners") < example_owners).filter((F.col("kind") != "blob") | F.col("live"))
+    spread = materialize(by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repos"), F.sum("times").alias("_times")), "secret-owners")
+    judged = spread_join(each, spread, "hash", "_times").withColumn("live", F.col("owners") < example_owners).filter((F.col("kind") != "blob") | F.col("live"))
     told = judged.groupBy("_row").agg(F.collect_list(F.struct("kind", "rank", "start", "end", "hash", "repos", "owners", "live")).alias("spans"))
     none = F.array().cast(told.schema["spans"].dataType)
     return rows.select("_row", "_id").join(told, "_row", "left").select(F.col("_id").alias(id_col), F.coalesce("spans", none).alias("spans"))
