@@ -5,7 +5,7 @@ row labelled good over a row labelled bad, by logistic loss on the difference of
 (Newton steps with a small ridge).  A quantile of the training scores is the threshold; scores
 are mapped to 0..1 by a logistic curve on which the threshold lies at ``at`` (0.3).
 
-The fit reads at most ``max_labelled`` rows that are not held out and ``pairs_per_row`` pairs for
+The fit reads at most ``max_labelled`` labels and rows that are not held out and ``pairs_per_row`` pairs for
 each row of the rarer label; every row of the table is scored over its whole text.  Ids, labels, languages and
 sources are no input of a score.
 
@@ -27,7 +27,6 @@ from lectern.llm.common import crc_mod, pick
 from lectern.llm.quality_rules import statistics
 
 BINS = 16
-VOWELS = "aeiouyAEIOUY"
 
 
 def features(text: bytes | None) -> list[float]:
@@ -117,7 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             x = [features(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["q", "x"])
 
-    rows = texts.mapInArrow(measure, "q int, x array<double>").limit(2 * max_labelled).collect()
+    # as many rows as labels, by hash order, if ids repeat
+    rows = texts.mapInArrow(measure, "q int, x array<double>").orderBy(F.xxhash64(F.lit(seed), "x", "q"), "x", "q").limit(max_labelled).collect()
     rows.sort(key=lambda r: (r.x, r.q))
     x = np.array([r.x for r in rows]).reshape(len(rows), WIDTH)
     return learn(x, np.array([r.q for r in rows]), seed=seed, **more)

@@ -3,7 +3,8 @@
 Lower-cased texts are cut into n-grams of one to three code points, hashed into ``2**bits``
 features.  Document frequencies are counted over every learnable row.  Weights are trained by
 follow-the-regularised-leader with elastic-net penalties on a bounded sample (``max_docs`` rows,
-spread over languages); a part of the sample sets the softmax temperature.
+spread over languages); a part of the sample sets the softmax temperature.  The driver gets the
+sample's sparse counts (at most ``2**bits`` numbers a row), never texts.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; a null id is not
 held out; without learnable rows every text is ``und``; repeated rows are classed alike; other
@@ -49,19 +50,18 @@ class Model:
     def __init__(self, langs: list[str], idf: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float, bits: int):
         self.langs, self.idf, self.weights, self.bias, self.temperature, self.bits = langs, idf, weights, bias, temperature, bits
 
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        at, n = counts(text, self.bits)
+    def vector(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         v = (1 + np.log(n)) * self.idf[at]
         return at, v / max(float(np.sqrt(v @ v)), 1e-12)
 
-    def logits(self, text: str) -> np.ndarray:
-        at, v = self.vector(text)
+    def logits(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        at, v = self.vector(at, n)
         return v @ self.weights[at] + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.langs or not has_letter(text):
             return "und", 0.0
-        p = softmax(self.logits(text) / self.temperature)
+        p = softmax(self.logits(*counts(text, self.bits)) / self.temperature)
         k = int(np.argmax(p))
         return self.langs[k], float(p[k])
 
@@ -71,7 +71,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def ftrl(model: Model, texts: list[str], y: np.ndarray, *, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02, epochs: int = 2, seed: int = 42) -> None:
+def ftrl(model: Model, rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, *, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02, epochs: int = 2, seed: int = 42) -> None:
     """Per-coordinate proximal steps; a weight is zero until its gradients outweigh ``l1``."""
     d, k = model.weights.shape
     z, n = np.zeros((d + 1, k)), np.zeros((d + 1, k))
@@ -81,9 +81,9 @@ def ftrl(model: Model, texts: list[str], y: np.ndarray, *, alpha: float = 1.0, b
         zz, nn = z[at], n[at]
         return np.where(np.abs(zz) <= l1, 0.0, -(zz - np.sign(zz) * l1) / ((beta + np.sqrt(nn)) / alpha + l2))
 
-    vectors = [model.vector(t) for t in texts]
+    vectors = [model.vector(*r) for r in rows]
     for _ in range(epochs):
-        for i in rng.permutation(len(texts)):
+        for i in rng.permutation(len(rows)):
             at, v = vectors[i]
             at, v = np.append(at, d), np.append(v, 1.0)  # the last weight is the bias
             w = weights(at)
@@ -131,13 +131,24 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
 
     share = max_docs / len(langs)
     rate = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(min(1.0, 1.2 * share / by_lang[lang])))))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(draw < F.element_at(rate, F.col("_lang"))).orderBy(F.xxhash64(F.lit(seed + 1), "_id"), "_id", "_lang").limit(max_docs).select("_lang", "_text").collect()
+    rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), "_id", F.xxhash64("_text")))
+    drawn = rows.filter(F.pmod("_h", F.lit(1 << 30)) / float(1 << 30) < F.element_at(rate, F.col("_lang")))
+    chosen = drawn.groupBy("_h").agg(F.min("_lang").alias("_lang")).orderBy(F.xxhash64(F.lit(seed + 1), "_h"), "_h").limit(max_docs)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [k for k, t in enumerate(batch.column(2).to_pylist()) if has_letter(t)]
+            found = [counts(batch.column(2)[k].as_py(), bits) for k in keep]
+            picked = [c.take(pa.array(keep, pa.int64())) for c in batch.columns[:2]]
+            yield pa.RecordBatch.from_arrays([*picked, pa.array([a for a, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int64()))], ["h", "lang", "at", "n"])
+
+    taken = rows.join(F.broadcast(chosen), ["_h", "_lang"]).select("_h", "_lang", "_text")  # at most max_docs keys
+    taken = taken.mapInArrow(counted, "h long, lang string, at array<long>, n array<long>").dropDuplicates(["h"]).orderBy(F.xxhash64(F.lit(seed + 1), "h"), "h").collect()
     model = Model(langs, idf, np.zeros((1 << bits, len(langs))), np.zeros(len(langs)), 1.0, bits)
-    sample = [(langs.index(r["_lang"]), r["_text"]) for r in sample if has_letter(r["_text"])]
+    sample = [(langs.index(r["lang"]), (np.array(r["at"], dtype=np.int64), np.array(r["n"], dtype=np.int64))) for r in taken]
     cut = int(len(sample) * (1 - calibration)) if len(sample) >= 50 else len(sample)
-    ftrl(model, [t for _, t in sample[:cut]], np.array([y for y, _ in sample[:cut]], dtype=np.int64), seed=seed, **more)
-    model.temperature = best_temperature(np.array([model.logits(t) for _, t in sample[cut:]]), np.array([y for y, _ in sample[cut:]], dtype=np.int64))
+    ftrl(model, [r for _, r in sample[:cut]], np.array([y for y, _ in sample[:cut]], dtype=np.int64), seed=seed, **more)
+    model.temperature = best_temperature(np.array([model.logits(*r) for _, r in sample[cut:]]), np.array([y for y, _ in sample[cut:]], dtype=np.int64))
     return model
 
 
