@@ -6,7 +6,8 @@ import json
 import sys
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 
 _scratch: dict[str, str] = {}
+#: Where :func:`recorded` notes the tables that are written.
+_records: list[list[str]] = []
 #: Keys that :func:`spread_join` splits, at most.
 HOT_KEYS = 10_000
 
@@ -49,8 +52,44 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     fixed once made (row numbers) stay as they are.
     """
     path = f"{scratch_dir(df.sparkSession)}/lectern-{label}-{uuid.uuid4().hex}"
+    for record in _records:
+        record.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def forget(*written: DataFrame) -> None:
+    """Delete tables that :func:`materialize` gave, when nothing lazy reads them any more."""
+    for df in written:
+        _delete(df.sparkSession, df._written_at)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables that :func:`materialize` writes meanwhile."""
+    made: list[str] = []
+    _records.append(made)
+    try:
+        yield made
+    finally:
+        _records.pop(next(k for k, r in enumerate(_records) if r is made))
+
+
+def drop_unread(spark: SparkSession, paths: list[str], reader: DataFrame) -> list[str]:
+    """Delete the tables that ``reader`` does not read; those that stay."""
+    read = {f.rpartition("/")[0].rpartition("/")[2] for f in reader.inputFiles()} if paths else set()
+    stay = [p for p in paths if p.rpartition("/")[2] in read]
+    for p in paths:
+        if p not in stay:
+            _delete(spark, p)
+    return stay
 
 
 def clean_scratch(spark: SparkSession, older_than_s: float = 0) -> int:
