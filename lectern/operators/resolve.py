@@ -5,16 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster shares (spark.checkpoint.dir); a local one only in local mode."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    if not named and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return named or "file://" + tempfile.gettempdir()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write into the folder the cluster shares (spark.checkpoint.dir) and read back."""
+    """Write into the folder the cluster shares and read back."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    path = f"{base}/lectern-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/lectern-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -29,17 +37,23 @@ def latest_wins(records: DataFrame, group: list[str], order: list[Column]) -> Da
 
 
 def authority_wins(records: DataFrame, topic: str, book: str, authority: str, id_col: str) -> DataFrame:
-    """Where the authority book has a topic, its lowest id demotes every other book's records."""
-    w = W.partitionBy(topic)
-    chief = F.min(F.when(F.col(book) == authority, F.col(id_col))).over(w)
-    beaten = chief.isNotNull() & F.col(topic).isNotNull() & ~F.col(book).eqNullSafe(F.lit(authority))
-    return records.withColumns({"canonical": ~beaten, "variant_of": F.when(beaten, chief)})
+    """Where the authority book has a topic, its lowest id demotes every other book's records.
+
+    Records without a topic, and those of the authority itself, take no part in the join.
+    """
+    chiefs = records.filter((F.col(book) == authority) & F.col(topic).isNotNull()).groupBy(F.col(topic).alias("_topic")).agg(F.min(id_col).alias("_chief"))
+    may_lose = F.col(topic).isNotNull() & ~F.col(book).eqNullSafe(F.lit(authority))
+    told = lambda rows: rows.withColumns({"canonical": F.col("_chief").isNull(), "variant_of": F.col("_chief")}).drop("_chief", "_topic")
+    others = records.filter(may_lose).join(chiefs, F.col(topic) == F.col("_topic"), "left")
+    alone = records.filter(~may_lose).withColumn("_chief", F.lit(None).cast(records.schema[id_col].dataType))
+    return told(others).unionByName(told(alone))
 
 
 def flatten_pointers(records: DataFrame, id_col: str, pointer: str, max_rounds: int = 40) -> DataFrame:
     """(id, root): chains followed to their end by pointer doubling.
 
     A pointer to a missing record ends at its holder; the members of a cycle keep their own ids.
+    Chains of up to 2**``max_rounds`` records end; longer ones are an error.
     """
     at = records.select(F.col(id_col).alias("id"), F.col(pointer).alias("to"))
     there = at.select(F.col("id").alias("t"))
@@ -57,6 +71,8 @@ def flatten_pointers(records: DataFrame, id_col: str, pointer: str, max_rounds:
         live, before = step.select("id", "to"), moved
         if not moved:
             break
+    else:
+        raise RuntimeError(f"pointer chains did not end in {max_rounds} rounds")
     return at.select("id").join(live, "id", "left").select("id", F.coalesce("to", "id").alias("root"))
 
 

@@ -180,4 +180,6 @@ def waves(queue: DataFrame, replies: DataFrame, n: int, cut, max_waves: int = 10
         work = cut(step.select("seg_id", "book", (F.col("calls") + heard.cast("int")).alias("calls"), state.cast(STATE).alias("s"), (F.col("idle") | (here & ~heard)).alias("idle")))
         if work.filter("NOT idle AND s.status = 'pending'").isEmpty():
             break
+    else:
+        raise RuntimeError(f"work is left after {max_waves} waves")
     return work.select("seg_id", "book", "s.tier", "s.status", "calls")

@@ -149,8 +149,9 @@ SELECT o_orderkey, superseded_by FROM orders LEFT JOIN h USING (o_orderkey)""")
 def span_supersede(spark, sf):
     orders = table(spark, sf, "orders")
     spans = orders.filter("o_totalprice > 300000").groupBy("o_custkey", F.col("o_orderpriority").alias("p")).agg(F.min("o_orderkey").alias("span_id"), F.min("o_orderdate").alias("span_low"), F.max("o_orderdate").alias("span_high"))
+    day = lambda c: F.unix_date(F.col(c).cast("date"))
     owns = (F.col("f.o_totalprice") < 100000) & (F.col("s.p") != F.col("f.o_orderpriority"))
-    return intervals.superseded_by(orders, spans, "o_custkey", "o_orderdate", "o_orderdate", "o_orderkey", "span_id", owns).select("o_orderkey", "superseded_by")
+    return intervals.superseded_by(orders, spans, "o_custkey", day("o_orderdate"), day("o_orderdate"), day("span_low"), day("span_high"), "o_orderkey", "span_id", owns, 256).select("o_orderkey", "superseded_by")
 
 
 _PAGES = "SELECT l_suppkey AS book, l_linenumber AS printed, l_linenumber + l_partkey % 3 AS actual, l_orderkey * 10 + l_linenumber AS ord FROM lineitem"

@@ -88,11 +88,12 @@ def records(spark: SparkSession, root: str) -> DataFrame:
 
 
 def first_of_each(rows: DataFrame, id_: Column) -> DataFrame:
-    """Of records with equal ids the first path stays."""
+    """Of records with equal ids the first path stays; those without an id all stay."""
     from pyspark.sql.window import Window as W
 
-    numbered = rows.withColumn("_id", id_).withColumn("_n", F.row_number().over(W.partitionBy("_id").orderBy("path")))
-    return numbered.filter("_n = 1 OR _id IS NULL").drop("_n", "_id")
+    known = rows.withColumn("_id", id_)
+    first = known.filter("_id IS NOT NULL").withColumn("_n", F.row_number().over(W.partitionBy("_id").orderBy("path"))).filter("_n = 1").drop("_n")
+    return first.unionByName(known.filter("_id IS NULL")).drop("_id")
 
 
 def paragraphs(texts: DataFrame, sidecars: DataFrame, keys: list[str]) -> DataFrame:
@@ -117,10 +118,22 @@ def geometry(xhtml: DataFrame, id_col: str, text_col: str) -> DataFrame:
     words = lines.select(id_col, "page", "block", "line", F.posexplode(F.regexp_extract_all("_line", F.lit(r"(?s)<word\b[^>]*>.*?</word>"), F.lit(0))).alias("pos", "w"))
     number = lambda k: F.regexp_extract("w", rf'{k}="([^"]*)"', 1).try_cast("double")
     text = F.regexp_extract("w", r"(?s)>(.*)<", 1)
-    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+    # numeric entities by their number, wherever one is left
+    numeric = F.transform(F.split(text, "&#"), lambda part, i: F.when((i == 0) | ~part.rlike("^(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"), F.when(i == 0, part).otherwise(F.concat(F.lit("&#"), part))).otherwise(_code_point(part)))
+    text = F.when(F.contains(text, F.lit("&#")), F.array_join(numeric, "")).otherwise(text)
+    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(code), F.lit(char))
     return words.select(id_col, "page", "block", "line", "pos", number("xMin").alias("x0"), number("yMin").alias("y0"), number("xMax").alias("x1"), number("yMax").alias("y1"), text.alias("text"))
 
 
+def _code_point(part: Column) -> Column:
+    """What ``65;rest`` or ``x41;rest`` stands for: the character, then the rest; a number that is no character stays as it is."""
+    told = F.regexp_extract(part, "^([^;]*);", 1)
+    number = F.when(told.rlike("^[xX]"), F.conv(F.substring(told, 2, 8), 16, 10)).otherwise(told).cast("long")
+    real = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(real, F.concat(utf32, F.regexp_extract(part, "(?s)^[^;]*;(.*)", 1))).otherwise(F.concat(F.lit("&#"), part))
+
+
 def word_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).filter("word != ''").distinct()

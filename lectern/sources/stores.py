@@ -5,9 +5,15 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.operators.resolve import cut_lineage
+
+
+BAD_BODIES = 5  # ids named in an error
+
 
 class Conflict(ValueError):
     """An id is stored with other contents."""
@@ -21,7 +27,12 @@ def append_outcome(stored: DataFrame, new: DataFrame, id_col: str, body: str) ->
 
 
 def append_once(spark: SparkSession, path: str, new: DataFrame, id_col: str, body: str) -> int:
-    """Add rows with new ids; equal rows are no change, other contents an error.  Returns the number added."""
+    """Add rows with new ids; equal rows are no change, other contents an error, in the batch as in the store.  Returns the number added."""
+    bodies = new.groupBy(id_col).agg(F.min(body).alias("_low"), F.max(body).alias("_high"), F.count(body).alias("_told"), F.count(F.lit(1)).alias("_n"))
+    differ = (F.col("_low") != F.col("_high")) | ((F.col("_told") > 0) & (F.col("_told") < F.col("_n")))
+    clash = [r[id_col] for r in bodies.filter(differ).select(id_col).limit(BAD_BODIES).collect()]
+    if clash:
+        raise Conflict(f"given with several contents: {clash}")
     try:
         stored = spark.read.parquet(path)
     except Exception as e:  # the first append makes the store
@@ -30,7 +41,7 @@ def append_once(spark: SparkSession, path: str, new: DataFrame, id_col: str, bod
         new.dropDuplicates([id_col]).write.parquet(path)
         return spark.read.parquet(path).count()
     told = append_outcome(stored, new.dropDuplicates([id_col]), id_col, body)
-    clash = [r[id_col] for r in told.filter("outcome = 'conflict'").select(id_col).limit(5).collect()]
+    clash = [r[id_col] for r in told.filter("outcome = 'conflict'").select(id_col).limit(BAD_BODIES).collect()]
     if clash:
         raise Conflict(f"stored with other contents: {clash}")
     fresh = told.filter("outcome = 'added'").drop("outcome")
@@ -46,18 +57,32 @@ def _fs(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """One small file, written beside and renamed into place."""
+    """One small file, written beside and renamed over the old one, whose mode it keeps: readers see either whole."""
     fs, p, jvm = _fs(spark, path)
+    local = fs.getScheme() == "file"
+    if local:  # renaming over a file is atomic in the raw file system; checksums beside it would be of the old one
+        fs.delete(jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.crc"), False)
+        fs = fs.getRawFileSystem()
     beside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
     out = fs.create(beside, True)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(beside, p):
-        raise OSError(f"could not rename to {path}")
+    try:
+        if fs.exists(p):
+            fs.setPermission(beside, fs.getFileStatus(p).getPermission())
+        if local:
+            if not fs.rename(beside, p):
+                raise OSError(f"could not rename to {path}")
+        else:
+            rename = getattr(jvm, "org.apache.hadoop.fs.Options$Rename")
+            how = spark.sparkContext._gateway.new_array(rename, 1)
+            how[0] = rename.OVERWRITE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(beside, p, how)
+    except Exception:
+        fs.delete(beside, False)
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -89,8 +114,22 @@ def merge_map(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame
     return both.groupBy(key).agg(F.max_by(value, "_b").alias(value)).orderBy(key)
 
 
-def write_new_segments(spark: SparkSession, path: str, segments: DataFrame, id_col: str, book: str, force: bool = False) -> None:
-    """Segments by book; those stored stay unless ``force``, which replaces the books that occur."""
+def write_new_segments(spark: SparkSession, path: str, segments: DataFrame, id_col: str, book: str, force: bool = False, pages: tuple[int, int] | None = None, page: str = "page") -> None:
+    """Segments by book; those stored stay unless ``force``, which replaces the books that occur.
+
+    With ``pages`` (first and last) only what starts there is written and, by ``force``, replaced.
+    """
+    if pages:
+        there = F.col(page).between(*pages)
+        segments = segments.filter(there)
+        if force:
+            try:
+                rest = spark.read.parquet(path)
+                rest = rest.join(segments.select(book).distinct(), book, "left_semi").filter(~F.coalesce(there, F.lit(False)))
+                segments = cut_lineage(segments.unionByName(rest.select(*segments.columns)))  # the books are read and replaced
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in str(e):
+                    raise
     if force:
         segments.write.option("partitionOverwriteMode", "dynamic").partitionBy(book).mode("overwrite").parquet(path)
         return

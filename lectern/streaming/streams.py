@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from lectern.operators.resolve import shared_folder
 from lectern.operators.workqueue import TIERS
 
 
@@ -21,8 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    return f"{base}/lectern-{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/lectern-{label}-{uuid.uuid4().hex}"
 
 
 def file_events(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,17 +43,21 @@ def sessions(events: DataFrame, gap: str, late: str) -> DataFrame:
 
 
 def run_once(stream: DataFrame, label: str, mode: str = "complete") -> DataFrame:
-    """Run over all that is there, and give the table that the last batch wrote."""
+    """Run over all that is there, and give what the batches wrote: the last one, in complete mode.
+
+    Every batch has a folder of its own, which a repeated batch overwrites.
+    """
     spark = stream.sparkSession
     out, log = shared_path(spark, label), shared_path(spark, label + "-log")
-    schema = stream.schema
+    schema, last = stream.schema, {}
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch-{number:09d}")
+        last["at"] = number
 
     q = stream.writeStream.outputMode(mode).option("checkpointLocation", log).foreachBatch(write).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(schema).parquet(out)
+    return spark.read.schema(schema).parquet(f"{out}/batch-{last['at']:09d}" if mode == "complete" and last else f"{out}/batch-*")
 
 
 STATE = "tier int, status string, last_tier int, last_kind string, last_error string, asked boolean, logged int"
