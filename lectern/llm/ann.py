@@ -1,14 +1,17 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 Unit vectors are turned by pseudo-rotations (three rounds of random signs and a fast Hadamard
-transform) and hashed to the nearest signed axis, ``2 * dim`` buckets a table.  Every vector is
-indexed in every table; a query probes the ``probes`` signed axes nearest to it in each table.
-Candidates of a bucket are reranked exactly, in double precision on the original vectors, where
-they lie: only each query's best of a bucket leave it.
+transform) and hashed to the nearest signed axis of each of several cross-polytopes, a key of
+``polytopes`` axes a table.  Their number follows the number of vectors: as many as there may be
+without more keys than vectors, so that keys hold few vectors at every size.  Every vector is
+indexed in every table; a query probes the ``probes ** polytopes`` keys whose axes are nearest to
+it.  All but the last axis of a key say where vectors and queries meet, the last one is looked up
+there, so that a query is sent once for many keys.  What it finds is reranked exactly, in double
+precision on the original vectors, where it lies: only each query's best of a bucket leave it.
 
 Equal vectors are one entry with its smallest ids, and equal query vectors one query, so copies
-cost nothing and lose nothing.  Buckets are split (both sides) into cells of at most about
-``cell`` rows, whose number follows the bucket's size.
+cost nothing and lose nothing.  Buckets that are large all the same are split (both sides) into
+cells of at most about ``cell`` rows.
 
 Defined results: rows whose id is null or whose vector is null, zero or has null or non-finite
 components take no part, as queries or candidates; nor do vectors of another length than most
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from lectern.llm.common import local_table, materialize, pick
+from lectern.llm.common import materialize, pick
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -41,30 +44,56 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    def __init__(self, dim: int, tables: int, seed: int):
+    """Keys of ``polytopes`` signed axes in each of ``tables``; a key is a bucket (all axes but the last, if there are two or more) and a last axis."""
+
+    def __init__(self, dim: int, tables: int, polytopes: int, seed: int):
         self.width = 1 << max(1, int(dim - 1).bit_length())
+        self.tables, self.polytopes = tables, polytopes
         rng = np.random.default_rng(seed)
-        self.signs = rng.choice(np.array([-1.0, 1.0]), size=(tables, 3, self.width))
+        self.signs = rng.choice(np.array([-1.0, 1.0]), size=(tables, polytopes, 3, self.width))
 
-    def turned(self, x: np.ndarray) -> Iterator[np.ndarray]:
-        """Rows turned by each table's pseudo-rotation."""
+    def turned(self, x: np.ndarray) -> Iterator[list[np.ndarray]]:
+        """For each table, the signed coordinates of rows on the axes of each polytope."""
         unit = x / np.linalg.norm(x / np.abs(x).max(axis=1, keepdims=True), axis=1, keepdims=True) / np.abs(x).max(axis=1, keepdims=True)
         padded = np.zeros((len(x), self.width))
         padded[:, : x.shape[1]] = unit
-        for rounds in self.signs:
-            y = padded
-            for signs in rounds:
-                y = hadamard(y * signs)
-            yield y
-
-    def nearest(self, x: np.ndarray, probes: int) -> np.ndarray:
-        """Bucket numbers, of shape (rows, tables, probes), nearest axis first."""
-        out = []
-        for t, y in enumerate(self.turned(x)):
-            both = np.concatenate((y, -y), axis=1)
-            top = np.argsort(-both, axis=1, kind="stable")[:, :probes] if probes > 1 else np.argmax(both, axis=1)[:, None]
-            out.append(top + t * 2 * self.width)
-        return np.stack(out, axis=1)
+        for table in self.signs:
+            out = []
+            for rounds in table:
+                y = padded
+                for signs in rounds:
+                    y = hadamard(y * signs)
+                out.append(np.concatenate((y, -y), axis=1))
+            yield out
+
+    def _split(self, axes: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket, last axis) of axes by polytope (last dimension)."""
+        last = axes[..., -1] if self.polytopes > 1 else np.zeros(axes.shape[:-1], dtype=np.int64)
+        bucket = np.full(axes.shape[:-1], table, dtype=np.int64)
+        for k in range(max(1, self.polytopes - 1)):
+            bucket = bucket * (2 * self.width) + axes[..., k]
+        return bucket, last
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket and last axis of each row, by table."""
+        found = [self._split(np.stack([np.argmax(y, axis=1) for y in both], axis=-1), t) for t, both in enumerate(self.turned(x))]
+        return np.stack([b for b, _ in found], axis=1), np.stack([last for _, last in found], axis=1)
+
+    def probed(self, x: np.ndarray, probes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each table (row, bucket, last axis) of the keys nearest to each row, by the squared distances lost on each axis."""
+        for t, both in enumerate(self.turned(x)):
+            loss, axes = np.zeros((len(x), 1)), np.zeros((len(x), 1, 0), dtype=np.int64)
+            for k, y in enumerate(both):
+                some = min(y.shape[1], max(probes, 3 * probes if self.polytopes > 1 else 0))
+                top = np.argsort(-y, axis=1, kind="stable")[:, :some]
+                value = np.take_along_axis(y, top, axis=1)
+                sums = (loss[:, :, None] + (value[:, :1] - value)[:, None, :] ** 2).reshape(len(x), -1)
+                best = np.argsort(sums, axis=1, kind="stable")[:, : min(sums.shape[1], probes ** (k + 1 if self.polytopes == 1 else self.polytopes))]
+                loss = np.take_along_axis(sums, best, axis=1)
+                old, new = np.divmod(best, some)
+                axes = np.concatenate((np.take_along_axis(axes, old[:, :, None], axis=1) if k else np.zeros((*old.shape, 0), dtype=np.int64), np.take_along_axis(top, new, axis=1)[:, :, None]), axis=2)
+            bucket, last = self._split(axes, t)
+            yield np.repeat(np.arange(len(x)), bucket.shape[1]), bucket.ravel(), last.ravel()
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -90,57 +119,87 @@ def entries(rows: DataFrame, keep: int) -> DataFrame:
 
 def _search(nodes: DataFrame, asked: DataFrame, hasher: Hasher, dim: int, probes: int, k: int, cell: int) -> DataFrame:
     """h1, h2, vec_id, score: the k + 1 nearest found of each distinct query vector, itself among them."""
-
-    def bucketed(of: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for at in range(0, batch.num_rows, 1000):
-                    part = batch.slice(at, 1000)
-                    found = hasher.nearest(matrix(part.column(2), dim), of).reshape(part.num_rows, -1)
-                    row = pa.array(np.repeat(np.arange(part.num_rows), found.shape[1]))
-                    yield pa.RecordBatch.from_arrays([pa.array(found.ravel().astype(np.int32)), *(c.take(row) for c in part.columns)], ["bucket", *part.schema.names])
-
-        return run
-
-    index = nodes.select("h1", "h2", "v", "ids").mapInArrow(bucketed(1), "bucket int, h1 long, h2 int, v array<double>, ids array<long>")
-    probing = asked.mapInArrow(bucketed(probes), "bucket int, h1 long, h2 int, v array<double>")
-    # at most tables * 2 * width buckets, whatever the data
-    n = {r.bucket: r.n for r in index.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
-    q = {r.bucket: r.n for r in probing.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cells = F.broadcast(local_table(nodes.sparkSession, [{"bucket": b, "rows": -(-n[b] // cell), "cols": -(-q[b] // cell)} for b in n if b in q], "bucket int, rows int, cols int"))
-    all_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    index = index.join(cells, "bucket").withColumn("row", F.pmod("h2", "rows")).withColumn("col", all_of("cols")).select("bucket", "row", "col", "v", "ids")
-    probing = probing.join(cells, "bucket").withColumn("col", F.pmod("h2", "cols")).withColumn("row", all_of("rows")).select("bucket", "row", "col", "h1", "h2", "v")
+    kind = nodes.schema["v"].dataType.simpleString()
+
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                bucket, last = hasher.nearest(matrix(part.column(1), dim))
+                lists = [pa.array(list(x), pa.list_(t)) for x, t in ((bucket, pa.int64()), (last, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*lists, *part.columns], ["buckets", "lasts", *part.schema.names])
+
+    def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                for row, bucket, last in hasher.probed(matrix(part.column(2), dim), probes):
+                    by = np.lexsort((bucket, row))
+                    row, bucket, last = row[by], bucket[by], last[by]
+                    first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1]))))
+                    lasts = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)), pa.int32()), pa.array(last, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), lasts, *(c.take(pa.array(row[first])) for c in part.columns)], ["bucket", "lasts", *part.schema.names])
+
+    index = materialize(nodes.select("h2", "v", "ids").mapInArrow(indexed, f"buckets array<long>, lasts array<int>, h2 int, v {kind}, ids array<long>"), "ann-index")
+    index = index.select(F.explode(F.arrays_zip("buckets", "lasts")).alias("b"), "h2", "v", "ids").select("b.buckets", "b.lasts", "h2", "v", "ids").toDF("bucket", "last", "h2", "v", "ids")
+    asking = materialize(asked.mapInArrow(probing, f"bucket long, lasts array<int>, h1 long, h2 int, v {kind}"), "ann-probes")
+    counts = index.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).join(asking.groupBy("bucket").agg(F.count(F.lit(1)).alias("q")), "bucket")
+    hot = materialize(counts.filter((F.col("n") > cell) | (F.col("q") > cell)).select("bucket", F.ceil(F.col("n") / cell).cast("int").alias("rows"), F.ceil(F.col("q") / cell).cast("int").alias("cols")), "ann-cells")
+    if hot.isEmpty():
+        index, asking = (x.withColumns({"row": F.lit(0), "col": F.lit(0)}) for x in (index, asking))
+    else:
+        one = lambda c: F.coalesce(c, F.lit(1))
+        all_of = lambda c: F.explode(F.sequence(F.lit(0), one(F.col(c)) - 1))
+        index = index.join(hot, "bucket", "left").withColumn("row", F.pmod("h2", one(F.col("rows")))).withColumn("col", all_of("cols"))
+        asking = asking.join(hot, "bucket", "left").withColumn("col", F.pmod("h2", one(F.col("cols")))).withColumn("row", all_of("rows"))
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
         a, x = matrix(left["v"], dim), matrix(right["v"], dim)
         out = []
         if len(a) and len(x):
             na, nx = np.sqrt((a * a).sum(axis=1)), np.sqrt((x * x).sum(axis=1))
+            unit, last = x / nx[:, None], np.asarray(right["last"])
             ids = right["ids"].to_pylist()
             least = np.array([i[0] for i in ids])
+            lists = left["lasts"].combine_chunks()
+            ends, wanted = np.asarray(lists.offsets), np.asarray(lists.values)
             h1, h2 = left["h1"].to_pylist(), left["h2"].to_pylist()
-            for at in range(0, len(a), 256):
-                rough = (a[at : at + 256] / na[at : at + 256, None]) @ (x / nx[:, None]).T
-                kth = np.partition(rough, -(k + 1), axis=1)[:, -(k + 1)] if len(x) > k + 1 else np.full(len(rough), -np.inf)
-                for i in range(len(rough)):
-                    near = np.flatnonzero(rough[i] >= kth[i] - 1e-9)
-                    score = (x[near] * a[at + i]).sum(axis=1) / (na[at + i] * nx[near])
-                    for j in np.lexsort((least[near], -score))[: k + 1]:
-                        out.append((h1[at + i], h2[at + i], float(score[j]), ids[near[j]]))
+            for i in range(len(a)):
+                there = np.zeros(2 * hasher.width, dtype=bool)
+                there[wanted[ends[i] : ends[i + 1]]] = True
+                near = np.flatnonzero(there[last])
+                if len(near) > k + 1:
+                    rough = unit[near] @ (a[i] / na[i])
+                    near = near[rough >= np.partition(rough, -(k + 1))[-(k + 1)] - 1e-9]
+                score = (x[near] * a[i]).sum(axis=1) / (na[i] * nx[near])
+                for j in np.lexsort((least[near], -score))[: k + 1]:
+                    out.append((h1[i], h2[i], float(score[j]), ids[near[j]]))
         cols = list(zip(*out)) or [[], [], [], []]
         return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.float64(), pa.list_(pa.int64())))], ["h1", "h2", "score", "ids"])
 
     keys = ["bucket", "row", "col"]
-    found = probing.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(rerank, "h1 long, h2 int, score double, ids array<long>")
+    index = index.select(*keys, "last", "v", "ids")
+    found = asking.select(*keys, "lasts", "h1", "h2", "v").groupBy(*keys).cogroup(index.groupBy(*keys)).applyInArrow(rerank, "h1 long, h2 int, score double, ids array<long>")
     found = found.select("h1", "h2", F.explode("ids").alias("vec_id"), "score").groupBy("h1", "h2", "vec_id").agg(F.max("score").alias("score"))
     best = W.partitionBy("h1", "h2").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k + 1).drop("_n")
 
 
-def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, probes: int = 8, cell: int = 4096, seed: int = 42) -> DataFrame:
-    """The ``k`` nearest rows found of each row that ``queries`` picks: a condition on the id and vector columns by name."""
-    v = F.col(vector_col).cast("array<double>")
+def key_axes(rows: int, width: int) -> int:
+    """Polytopes a key: as many as there may be without more keys than rows, at least one."""
+    n = 1
+    while (2 * width) ** (n + 1) <= rows:
+        n += 1
+    return n
+
+
+def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int | None = None, probes: int = 8, cell: int = 4096, seed: int = 42) -> DataFrame:
+    """The ``k`` nearest rows found of each row that ``queries`` picks: a condition on the id and vector columns by name.
+
+    ``tables`` is 12 for keys of one axis, 24 for longer ones, if not given.
+    """
+    single = pick(vectors, vector_col).schema[vector_col].dataType.simpleString() == "array<float>"
+    v = F.col(vector_col).cast("array<float>" if single else "array<double>")
     rows = pick(vectors, id_col, vector_col).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = rows.filter(F.col("id").isNotNull() & valid(F.col("v")))
     sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
@@ -152,12 +211,15 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
     nodes = materialize(entries(rows, k + 1), "ann-vectors")
     asking = materialize(rows.filter("asks").select("id", "h1", "h2").distinct(), "ann-queries")
     asked = nodes.join(asking.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "v")
-    found = materialize(_search(nodes, asked, Hasher(dim, tables, seed), dim, probes, k, cell), "ann-found")
+    width = Hasher(dim, 1, 1, seed).width
+    axes = key_axes(nodes.count(), width)
+    tables = tables or (12 if axes == 1 else 24)
+    found = materialize(_search(nodes, asked, Hasher(dim, tables, axes, seed), dim, probes, k, cell), "ann-found")
     # a query far from everything may miss: with fewer than k others, it probes every bucket of one table
     enough = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > k).select("h1", "h2")
     short = materialize(asked.join(enough, ["h1", "h2"], "left_anti"), "ann-short")
     if not short.isEmpty():
-        all_ = Hasher(dim, 1, seed)
+        all_ = Hasher(dim, 1, 1, seed)
         more = _search(nodes, short, all_, dim, 2 * all_.width, k, cell)
         found = found.join(short.select("h1", "h2"), ["h1", "h2"], "left_anti").unionByName(more)
     out = asking.join(found, ["h1", "h2"]).filter("vec_id != id")
