@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lectern.llm.common import local_table, pick
 
 #: Lines of a copyright statement, in lower case.
-COPYRIGHT = r"(?m)^[\x20\x09]*(copyright(?![\x20\x09]+(?:notices?|holders?|owners?|laws?|statements?|licenses?)\b)|\(c\)|©|copr\.|all rights reserved)[^\n]*$"
+COPYRIGHT = r"(?m)^[\x20\x09]*(copyright(?![\x20\x09]+(?:notices?|holders?|owners?|laws?|statements?|licen[cs]es?)\b)|\(c\)|©|copr\.|all rights reserved)[^\n]*$"
 
 # Equivalent spellings, in lower case and without punctuation.
 SPELLINGS = [
@@ -75,6 +75,22 @@ NOTICES = {
     "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
     "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
 }
+# Canonical digests of long licences, of their published plain texts as a whole
+# (another canonical form makes other digests; a test compares them with the texts where a system has these).
+DIGESTS = {
+    "Apache-2.0": "d71babf91d8c981d3cbc3ecdc8b468fbbb3305a8198126e7b2acd755fab3d033",
+    "Artistic-1.0-Perl": "d1ce9579b2c8d32b706b421d9c42208152298e00849e57ce7da8e906ed3802f2",
+    "CC0-1.0": "d24369f38fdf7181917831aa40ec7761926fead9e1c43fbb25e4ed156fc0ba0f",
+    "GFDL-1.3": "bb3e0facf142c1760d8f070bcc919ae5d64ead3ed61e2de04f65b56be41a8f88",
+    "GPL-1.0": "5c1318be3b0b805eb2380f144320bc0b8ff14964622c642205310c963e8cf0ab",
+    "GPL-2.0": "3cce4a6a72274f2e99fccd846294e0cb94ea165fd3b48e04604924ff731d8ee0",
+    "GPL-3.0": "4d371fe7b281ac4c3eb50912598e50e55c6a09a488263ee4849169bf16e1831f",
+    "LGPL-2.0": "f8437c9123dac839969d73607d0012df17151df482b591bf1a1d438655990234",
+    "LGPL-2.1": "0f9f3659c41f76c03008d0c96b1a9e8e705bd707ceb6c945cd1108f7a4c99f63",
+    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    "MPL-1.1": "d5d8f9478fcec675211ed42501cf82bb035b5a84dc403d50eac60f562d13670c",
+    "MPL-2.0": "711eacc5cdff886d6ebbeb7a7395d1dfce988a9ca9e2e7ed754544cc70bd77ef",
+}
 #: Title lines with which the texts are published.
 TITLES = {
     "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
@@ -131,7 +147,10 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", kno
     if known_texts is not None:
         texts = texts.union(known_texts.select("license_id", "text"))
     # one row a digest: of licences with the same text the first name
-    whole = F.broadcast(texts.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license_id").alias("license_id")).filter(F.col("digest") != F.sha2(F.lit(""), 256)))
+    digests = texts.select("license_id", digest(F.col("text")).alias("digest")).union(local_table(spark, [{"license_id": k, "digest": d} for k, d in DIGESTS.items()], "license_id string, digest string"))
+    whole = digests.groupBy("digest").agg(F.min("license_id").alias("license_id")).filter(F.col("digest") != F.sha2(F.lit(""), 256))
+    if known_texts is None:  # then as many rows as are written above
+        whole = F.broadcast(whole)
     joined = rows.join(whole, rows["license_digest"] == whole["digest"], "left")
     return joined.select(id_col, "license_digest", "license_id", F.array_join(F.array_sort(F.array_distinct("_lines")), ",").alias("line_licenses"), F.size("_lines").cast("long").alias("n_license_lines"))
 
