@@ -32,7 +32,7 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 AT, DOT = r"\x20?[\[(]\x20?at\x20?[\])]\x20?", r"(?:\x20?[\[(]\x20?dot\x20?[\])]\x20?|\.)"
 MAIL = rf"(?<![{LOCAL}])[{LOCAL}]++{AT}[A-Za-z0-9-]++{DOT}[A-Za-z]{{2,}}+"
-TEL = r"(?<![0-9+().\x20-])[(]?[0-9]{3}[)]?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
+TEL = r"(?<![0-9+(.-])(?<![0-9)]\x20)[(]?[0-9]{3}[)]?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 TITLE = "Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Mlle|Sr|Sra|Señor|Señora"
 NAME = rf"(?=[MDPHFS])(?<!\p{{L}})(?:{TITLE})\.?\x20\p{{Lu}}\p{{Ll}}++(?:\x20\p{{Lu}}\p{{Ll}}++)?"
