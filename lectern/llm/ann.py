@@ -1,13 +1,13 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 Unit vectors are turned by pseudo-rotations (three rounds of random signs and a fast Hadamard
-transform) and hashed to the nearest signed axis of each of several cross-polytopes, a key of
-``polytopes`` axes a table.  Their number follows the number of vectors: as many as there may be
-without more keys than vectors, so that keys hold few vectors at every size.  Every vector is
-indexed in every table; a query probes the ``probes ** polytopes`` keys whose axes are nearest to
-it.  All but the last axis of a key say where vectors and queries meet, the last one is looked up
-there, so that a query is sent once for many keys.  What it finds is reranked exactly, in double
-precision on the original vectors, where it lies: only each query's best of a bucket leave it.
+transform) and hashed to the nearest signed axis of each of several cross-polytopes.  Every vector
+is indexed in every table.  The first axis, or with very many vectors the first few, is its
+bucket; a query probes the ``probes`` buckets (for each axis) nearest to it.  Inside a bucket only
+vectors whose last axis is among the query's nearest are candidates.  How many axes these are
+falls with the root of the rows in a bucket (see :func:`plan`), so that candidates grow slower than rows.
+Candidates are reranked exactly, in double precision on the original vectors, where they lie:
+only each query's best of a bucket leave it.
 
 Equal vectors are one entry with its smallest ids, and equal query vectors one query, so copies
 cost nothing and lose nothing.  Buckets that are large all the same are split (both sides) into
@@ -44,13 +44,13 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Keys of ``polytopes`` signed axes in each of ``tables``; a key is a bucket (all axes but the last, if there are two or more) and a last axis."""
+    """In each of ``tables``, the signed axes of ``axes`` polytopes that make a bucket, and of one more."""
 
-    def __init__(self, dim: int, tables: int, polytopes: int, seed: int):
+    def __init__(self, dim: int, tables: int, axes: int, seed: int):
         self.width = 1 << max(1, int(dim - 1).bit_length())
-        self.tables, self.polytopes = tables, polytopes
+        self.axes = axes
         rng = np.random.default_rng(seed)
-        self.signs = rng.choice(np.array([-1.0, 1.0]), size=(tables, polytopes, 3, self.width))
+        self.signs = rng.choice(np.array([-1.0, 1.0]), size=(tables, axes + 1, 3, self.width))
 
     def turned(self, x: np.ndarray) -> Iterator[list[np.ndarray]]:
         """For each table, the signed coordinates of rows on the axes of each polytope."""
@@ -66,34 +66,38 @@ class Hasher:
                 out.append(np.concatenate((y, -y), axis=1))
             yield out
 
-    def _split(self, axes: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
-        """(bucket, last axis) of axes by polytope (last dimension)."""
-        last = axes[..., -1] if self.polytopes > 1 else np.zeros(axes.shape[:-1], dtype=np.int64)
-        bucket = np.full(axes.shape[:-1], table, dtype=np.int64)
-        for k in range(max(1, self.polytopes - 1)):
-            bucket = bucket * (2 * self.width) + axes[..., k]
-        return bucket, last
-
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bucket and last axis of each row, by table."""
-        found = [self._split(np.stack([np.argmax(y, axis=1) for y in both], axis=-1), t) for t, both in enumerate(self.turned(x))]
-        return np.stack([b for b, _ in found], axis=1), np.stack([last for _, last in found], axis=1)
-
-    def probed(self, x: np.ndarray, probes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each table (row, bucket, last axis) of the keys nearest to each row, by the squared distances lost on each axis."""
+        buckets, lasts = [], []
         for t, both in enumerate(self.turned(x)):
-            loss, axes = np.zeros((len(x), 1)), np.zeros((len(x), 1, 0), dtype=np.int64)
-            for k, y in enumerate(both):
-                some = min(y.shape[1], max(probes, 3 * probes if self.polytopes > 1 else 0))
-                top = np.argsort(-y, axis=1, kind="stable")[:, :some]
+            at = np.full(len(x), t, dtype=np.int64)
+            for y in both[:-1]:
+                at = at * (2 * self.width) + np.argmax(y, axis=1)
+            buckets.append(at)
+            lasts.append(np.argmax(both[-1], axis=1))
+        return np.stack(buckets, axis=1), np.stack(lasts, axis=1)
+
+    def probed(self, x: np.ndarray, probes: int, last_axes: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each table the buckets nearest to each row, by the squared distances lost on their axes, and the nearest last axes."""
+        for t, both in enumerate(self.turned(x)):
+            loss, at = np.zeros((len(x), 1)), np.full((len(x), 1), t, dtype=np.int64)
+            for k, y in enumerate(both[:-1]):
+                top = np.argsort(-y, axis=1, kind="stable")[:, : min(y.shape[1], 3 * probes if self.axes > 1 else probes)]
                 value = np.take_along_axis(y, top, axis=1)
                 sums = (loss[:, :, None] + (value[:, :1] - value)[:, None, :] ** 2).reshape(len(x), -1)
-                best = np.argsort(sums, axis=1, kind="stable")[:, : min(sums.shape[1], probes ** (k + 1 if self.polytopes == 1 else self.polytopes))]
-                loss = np.take_along_axis(sums, best, axis=1)
-                old, new = np.divmod(best, some)
-                axes = np.concatenate((np.take_along_axis(axes, old[:, :, None], axis=1) if k else np.zeros((*old.shape, 0), dtype=np.int64), np.take_along_axis(top, new, axis=1)[:, :, None]), axis=2)
-            bucket, last = self._split(axes, t)
-            yield np.repeat(np.arange(len(x)), bucket.shape[1]), bucket.ravel(), last.ravel()
+                keys = (at[:, :, None] * (2 * self.width) + top[:, None, :]).reshape(len(x), -1)
+                best = np.argsort(sums, axis=1, kind="stable")[:, : probes**self.axes]
+                loss, at = np.take_along_axis(sums, best, axis=1), np.take_along_axis(keys, best, axis=1)
+            yield at, np.argsort(-both[-1], axis=1, kind="stable")[:, :last_axes]
+
+
+def plan(rows: int, width: int, cell: int) -> tuple[int, int]:
+    """(axes of a bucket, last axes looked up): buckets of ``cell`` rows at most on average; of their rows a share that falls with the root of their number."""
+    axes = 1
+    while rows > cell * (2 * width) ** axes:
+        axes += 1
+    inside = rows / (2 * width) ** (axes - 1)
+    return axes, min(2 * width, max(8, int(np.ceil(2 * width * np.sqrt(32 * width / max(inside, 1))))))
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -117,7 +121,7 @@ def entries(rows: DataFrame, keep: int) -> DataFrame:
     return few.groupBy(*keys).agg(F.first("v").alias("v"), F.array_sort(F.collect_list("id")).alias("ids"))
 
 
-def _search(nodes: DataFrame, asked: DataFrame, hasher: Hasher, dim: int, probes: int, k: int, cell: int) -> DataFrame:
+def _search(nodes: DataFrame, asked: DataFrame, hasher: Hasher, dim: int, probes: int, last_axes: int, k: int, cell: int) -> DataFrame:
     """h1, h2, vec_id, score: the k + 1 nearest found of each distinct query vector, itself among them."""
     kind = nodes.schema["v"].dataType.simpleString()
 
@@ -133,12 +137,10 @@ def _search(nodes: DataFrame, asked: DataFrame, hasher: Hasher, dim: int, probes
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                for row, bucket, last in hasher.probed(matrix(part.column(2), dim), probes):
-                    by = np.lexsort((bucket, row))
-                    row, bucket, last = row[by], bucket[by], last[by]
-                    first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (bucket[1:] != bucket[:-1]))))
-                    lasts = pa.ListArray.from_arrays(pa.array(np.append(first, len(row)), pa.int32()), pa.array(last, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), lasts, *(c.take(pa.array(row[first])) for c in part.columns)], ["bucket", "lasts", *part.schema.names])
+                for at_, lasts in hasher.probed(matrix(part.column(2), dim), probes, last_axes):
+                    row = pa.array(np.repeat(np.arange(len(at_)), at_.shape[1]))
+                    own = pa.array(list(lasts.astype(np.int32)), pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(at_.ravel()), *(c.take(row) for c in (own, *part.columns))], ["bucket", "lasts", *part.schema.names])
 
     index = materialize(nodes.select("h2", "v", "ids").mapInArrow(indexed, f"buckets array<long>, lasts array<int>, h2 int, v {kind}, ids array<long>"), "ann-index")
     index = index.select(F.explode(F.arrays_zip("buckets", "lasts")).alias("b"), "h2", "v", "ids").select("b.buckets", "b.lasts", "h2", "v", "ids").toDF("bucket", "last", "h2", "v", "ids")
@@ -185,19 +187,8 @@ def _search(nodes: DataFrame, asked: DataFrame, hasher: Hasher, dim: int, probes
     return found.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k + 1).drop("_n")
 
 
-def key_axes(rows: int, width: int) -> int:
-    """Polytopes a key: as many as there may be without more keys than rows, at least one."""
-    n = 1
-    while (2 * width) ** (n + 1) <= rows:
-        n += 1
-    return n
-
-
-def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int | None = None, probes: int = 8, cell: int = 4096, seed: int = 42) -> DataFrame:
-    """The ``k`` nearest rows found of each row that ``queries`` picks: a condition on the id and vector columns by name.
-
-    ``tables`` is 12 for keys of one axis, 24 for longer ones, if not given.
-    """
+def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, tables: int = 12, probes: int = 8, cell: int = 4096, seed: int = 42) -> DataFrame:
+    """The ``k`` nearest rows found of each row that ``queries`` picks: a condition on the id and vector columns by name."""
     single = pick(vectors, vector_col).schema[vector_col].dataType.simpleString() == "array<float>"
     v = F.col(vector_col).cast("array<float>" if single else "array<double>")
     rows = pick(vectors, id_col, vector_col).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
@@ -211,16 +202,14 @@ def nearest(vectors: DataFrame, queries: Column, *, id_col: str = "vec_id", vect
     nodes = materialize(entries(rows, k + 1), "ann-vectors")
     asking = materialize(rows.filter("asks").select("id", "h1", "h2").distinct(), "ann-queries")
     asked = nodes.join(asking.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select("h1", "h2", "v")
-    width = Hasher(dim, 1, 1, seed).width
-    axes = key_axes(nodes.count(), width)
-    tables = tables or (12 if axes == 1 else 24)
-    found = materialize(_search(nodes, asked, Hasher(dim, tables, axes, seed), dim, probes, k, cell), "ann-found")
+    axes, last_axes = plan(nodes.count(), 1 << max(1, int(dim - 1).bit_length()), cell)
+    found = materialize(_search(nodes, asked, Hasher(dim, tables, axes, seed), dim, probes, last_axes, k, cell), "ann-found")
     # a query far from everything may miss: with fewer than k others, it probes every bucket of one table
     enough = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > k).select("h1", "h2")
     short = materialize(asked.join(enough, ["h1", "h2"], "left_anti"), "ann-short")
     if not short.isEmpty():
         all_ = Hasher(dim, 1, 1, seed)
-        more = _search(nodes, short, all_, dim, 2 * all_.width, k, cell)
+        more = _search(nodes, short, all_, dim, 2 * all_.width, 2 * all_.width, k, cell)
         found = found.join(short.select("h1", "h2"), ["h1", "h2"], "left_anti").unionByName(more)
     out = asking.join(found, ["h1", "h2"]).filter("vec_id != id")
     mine = W.partitionBy("id").orderBy(F.desc("score"), "vec_id")
