@@ -67,3 +67,62 @@ def browse(scores: DataFrame, coverage: DataFrame, candidate: str, kind: str | N
         value = jsons.resolve(F.col(candidate), pointer)
         passed = passed.filter(value.isNotNull() & jsons.typed_equal(value, F.parse_json(F.lit(equals))))
     return passed.join(F.broadcast(coverage))  # one row
+
+
+def counters(cases: DataFrame, candidates: DataFrame, assertions: DataFrame, evidence_errors: DataFrame, reviewed: bool) -> DataFrame:
+    """One row of all counters of a run and its release gate.
+
+    ``cases``: case_id, name, type, and text (the expected one, null if it is not referenced).
+    ``candidates``: case_id, name, type, text.  ``assertions``: case_id, pointer, is_field,
+    right (null: the pointer leads nowhere), of cases with a candidate or without.
+    ``evidence_errors``: case_id of every error.
+    """
+    matched, totals = match_candidates(cases, candidates.select("case_id", F.col("name").alias("_name"), F.col("type").alias("_type"), F.col("text").alias("_text")))
+    per = assertions.groupBy("case_id").agg(F.count_if("is_field").alias("asked"), F.count_if(F.col("is_field") & F.coalesce("right", F.lit(False))).alias("right"), F.count_if(~F.coalesce("right", F.lit(False))).alias("wrong"))
+    errors = evidence_errors.groupBy("case_id").agg(F.count(F.lit(1)).alias("errors"))
+    rows = matched.join(per, "case_id", "left").join(errors, "case_id", "left").fillna(0, ["asked", "right", "wrong", "errors"])
+    found = F.col("found")
+    there = found & (F.trim(F.coalesce("_text", F.lit(""))) != "")
+    referenced = F.col("text").isNotNull()
+    same_text = found & referenced & F.col("_text").eqNullSafe(F.col("text"))
+    text_ok = F.when(referenced, same_text).otherwise(there)
+    passed = found & F.col("_name").eqNullSafe(F.col("name")) & F.col("_type").eqNullSafe(F.col("type")) & (F.col("wrong") == 0) & text_ok & (F.col("errors") == 0)
+    one = rows.agg(
+        F.count(F.lit(1)).alias("expected"),
+        F.count_if(~found).alias("missing"),
+        F.count_if(passed).alias("passed"),
+        F.count_if(found & (F.col("wrong") == 0)).alias("correct_fields"),
+        F.count_if(found & (F.col("wrong") == 0)).alias("fields_passed_cases"),
+        F.coalesce(F.sum("asked"), F.lit(0)).alias("expected_field_assertions"),
+        F.coalesce(F.sum(F.when(found, F.col("right"))), F.lit(0)).alias("correct_field_assertions"),
+        F.count_if(found & (F.col("errors") == 0)).alias("valid_evidence"),
+        F.count_if(there).alias("text_present"),
+        F.count_if(same_text).alias("correct_text"),
+        F.count_if(found & ~referenced).alias("unscored_text"),
+        F.coalesce(F.bool_and(referenced), F.lit(True)).alias("_all_text"),
+    )
+    given = candidates.agg(F.count(F.lit(1)).alias("submitted"))
+    both = one.join(F.broadcast(totals.select(F.col("extra").alias("extras"), "duplicates"))).join(F.broadcast(given))  # one row each
+    gate = F.lit(reviewed) & F.col("_all_text") & (F.col("passed") == F.col("expected")) & (F.col("extras") == 0) & (F.col("duplicates") == 0)
+    return both.withColumns({"unreviewed": F.lit(0).cast("long") if reviewed else F.col("expected"), "release_ready": gate}).drop("_all_text")
+
+
+def inventory_errors(cases: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """(case_id, error) of an inventory's faults: blank or repeated ids, blank names and types, nothing expected, unknown snapshots.
+
+    ``cases``: case_id, name, type, snapshot_id, expected (a list of pointers); ``snapshots``: snapshot_id.
+    """
+    blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
+    known = snapshots.select("snapshot_id", F.lit(True).alias("_known")).distinct()
+    times = cases.groupBy("case_id").agg(F.count(F.lit(1)).alias("_n"))
+    rows = cases.join(known, "snapshot_id", "left").join(times, "case_id", "left")
+    faults = [
+        (blank("case_id"), "case_id is blank"),
+        (F.col("_n") > 1, "case_id repeats"),
+        (blank("name"), "name is blank"),
+        (blank("type"), "type is blank"),
+        (F.coalesce(F.size("expected"), F.lit(0)) <= 0, "nothing is expected"),
+        (F.coalesce(F.exists("expected", lambda p: ~F.startswith(p, F.lit("/"))), F.lit(False)), "a pointer does not start with a slash"),
+        (F.col("_known").isNull(), "snapshot is unknown"),
+    ]
+    return rows.select("case_id", F.explode(F.array_compact(F.array(*(F.when(c, F.lit(m)) for c, m in faults)))).alias("error")).distinct()

@@ -29,6 +29,11 @@ def token_index(records: DataFrame, id_col: str, names: Column) -> DataFrame:
     return records.select(F.explode(tokens(names)).alias("token"), id_col)
 
 
+def names_and_aliases(name: str, aliases: str | None) -> Column:
+    """What the index of a record holds: its name and its aliases (a list, may be null)."""
+    return F.concat_ws(" ", F.col(name), F.array_join(F.col(aliases), " ")) if aliases else F.col(name)
+
+
 def prefix_hits(index: DataFrame, id_col: str, words: list[str]) -> DataFrame:
     """Ids with a token for every word that begins with it: one scan, one aggregation."""
     if not words:

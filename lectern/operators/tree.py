@@ -43,3 +43,24 @@ def shown_field(value: Column, kind: str) -> Column:
     """A field as text: lists by comma, objects as ``k: v``; empty ones null."""
     text = F.array_join(value, ", ") if kind == "list" else F.array_join(F.transform(F.map_entries(value), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), ", ")
     return F.when(text != "", text)
+
+
+def merged(primary: DataFrame, others: DataFrame, types: list[str]) -> DataFrame:
+    """The filtered records of a tree with all records of the types that are merged into it, unfiltered."""
+    return primary.unionByName(others.filter(F.col("type").isin(types)))
+
+
+def field_groups(fields: DataFrame, owner: str) -> DataFrame:
+    """Per owner its shown fields by group: groups by their least order, then name; rows by order, then key.
+
+    ``fields``: owner, key, label, group, order and value; fields without a value are left out,
+    those without a group are in ``other``, those without an order come first.
+    """
+    shown = fields.filter("value IS NOT NULL").withColumns({"group": F.coalesce("group", F.lit("other")), "order": F.coalesce("order", F.lit(0)), "label": F.coalesce("label", "key")})
+    rows = shown.groupBy(owner, "group").agg(F.min("order").alias("order"), F.array_sort(F.collect_list(F.struct("order", "key", "label", "value"))).alias("rows"))
+    return rows.groupBy(owner).agg(F.array_sort(F.collect_list(F.struct("order", "group", "rows"))).alias("groups"))
+
+
+def type_counts(counts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Counts (type, n) with their labels, types without records dropped, by label."""
+    return labels.join(counts, "type").filter("n > 0").select("type", "label", "n").orderBy("label")

@@ -168,3 +168,55 @@ def traceable(cell: Column, source: Column) -> Column:
 def group_verdict(results: DataFrame, group: list[str]) -> DataFrame:
     """Records of a segment pass or fail together."""
     return results.groupBy(*group).agg(F.bool_and(F.size("errors") == 0).alias("passed"), F.sum(F.size("errors")).alias("n_errors"))
+
+
+# What a record of a type must have, and why it fails.
+PRESENT = {"spell": {"levels": "levels must be a non-empty list", "school": "school must be a non-empty string"}, "feat": {"benefit": "benefit must be a non-empty string"}, "rules_section": {"topic": "topic must be a non-empty string"}}
+SAVES, ABILITIES = ["fort", "ref", "will"], ["str", "dex", "con", "int", "wis", "cha"]
+PRINTED_HP = r"(?i)\(\s*([0-9]+)\s*hp\s*\)"
+
+
+def present(type_: str, fields: Column) -> Column:
+    """Messages for the fields (a variant) that a record of the type must have."""
+    is_object = F.schema_of_variant(fields).startswith("OBJECT")
+    out = []
+    for name, message in PRESENT[type_].items():
+        at = f"$.{name}"
+        full = F.size(F.try_variant_get(fields, at, "array<variant>")) > 0 if name == "levels" else (F.schema_of_variant(F.try_variant_get(fields, at, "variant")) == "STRING") & (F.trim(F.try_variant_get(fields, at, "string")) != "")
+        out.append(check(~F.coalesce(full, F.lit(False)), message))
+    return F.when(F.coalesce(is_object, F.lit(False)), F.concat(*out)).otherwise(F.array(F.lit("fields is missing or not an object")))
+
+
+def _integer(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).isin("BIGINT", "INT"), F.lit(False))
+
+
+def scores(fields: Column) -> Column:
+    """Messages for a monster's saves, all of them whole numbers, and abilities, each a whole number or null."""
+    part = lambda of, key: F.try_variant_get(fields, f"$.{of}.{key}", "variant")
+    keys = lambda of: F.map_keys(F.try_variant_get(fields, f"$.{of}", "map<string,variant>"))
+    object_ = lambda of: F.coalesce(F.schema_of_variant(F.try_variant_get(fields, f"$.{of}", "variant")).startswith("OBJECT"), F.lit(False))
+    saves = F.concat(*(check(~_integer(part("saves", k)), f"saves.{k} is missing or not an integer") for k in SAVES))
+
+    def ability(k: str) -> Column:
+        there = F.coalesce(F.array_contains(keys("abilities"), k), F.lit(False))
+        odd = ~_integer(part("abilities", k)) & ~F.coalesce(F.schema_of_variant(part("abilities", k)) == "VOID", F.lit(True))
+        return F.concat(check(~there, f"abilities.{k} is missing"), check(there & odd, f"abilities.{k} is neither an integer nor null"))
+
+    return F.concat(
+        F.when(object_("saves"), saves).otherwise(F.array(F.lit("saves is missing or not an object"))),
+        F.when(object_("abilities"), F.concat(*map(ability, ABILITIES))).otherwise(F.array(F.lit("abilities is missing or not an object"))),
+    )
+
+
+def printed_hit_points(hp: Column, die: Column, dice_text: Column) -> Column:
+    """Hit points and die agree with those printed in the dice line, where it prints them."""
+    printed = F.regexp_extract(dice_text, PRINTED_HP, 1)
+    first = F.get(numbers.dice_terms(dice_text), F.lit(0))["die"]
+    return F.concat(check((printed != "") & (printed.try_cast("bigint") != hp), "hit points differ from those printed"), check(die.isNotNull() & (first != die), "die differs from the first one printed"))
+
+
+def group_name(name: Column, group: Column, variant: Column) -> Column:
+    """A grouped entry has a group and a label, and is named by both."""
+    has = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
+    return F.concat(check(has(group) != has(variant), "group and variant label must be set together"), check(has(group) & has(variant) & (name != F.concat_ws(", ", group, variant)), "name is not group and variant label"))

@@ -183,3 +183,59 @@ def waves(queue: DataFrame, replies: DataFrame, n: int, cut, max_waves: int = 10
     else:
         raise RuntimeError(f"work is left after {max_waves} waves")
     return work.select("seg_id", "book", "s.tier", "s.status", "calls")
+
+
+def ladder_lines(segments: DataFrame) -> DataFrame:
+    """(book, tier, passed, escalated, retries): what the ladder's rungs came to.
+
+    ``segments``: book, tier, status, outcome, attempts (structs of tier and kind).  A segment
+    escalates from a tier by a validation or malformed attempt there, or a second request for
+    context; every request for context is a retry.
+    """
+    rungs = segments.withColumn("rung", F.explode(F.sequence(F.lit(1), F.lit(TIERS))))
+    here = F.filter(F.coalesce("attempts", F.array().cast(segments.schema["attempts"].dataType)), lambda a: a["tier"] == F.col("rung"))
+    asks = F.size(F.filter(here, lambda a: a["kind"] == "needs_context"))
+    up = F.exists(here, lambda a: a["kind"].isin("validation", "malformed")) | (asks >= 2)
+    passed = (F.col("tier") == F.col("rung")) & (F.col("status") == "done") & (F.col("outcome") == "validated")
+    return rungs.groupBy("book", F.col("rung").alias("tier")).agg(F.count_if(passed).alias("passed"), F.count_if(up).alias("escalated"), F.sum(asks).cast("long").alias("retries"))
+
+
+def select_and_mark(queue: DataFrame, seg_id: str, n: int, now: Column) -> DataFrame:
+    """The queue with the selected work in progress since ``now`` (column ``claimed_at``)."""
+    chosen = select_work(queue, seg_id, n).select(seg_id, F.lit(True).alias("_chosen"))
+    out = queue.drop("claimed_at") if "claimed_at" in queue.columns else queue
+    before = queue.select(seg_id, F.col("claimed_at").cast("timestamp").alias("_before")) if "claimed_at" in queue.columns else queue.select(seg_id, F.lit(None).cast("timestamp").alias("_before"))
+    out = out.join(before, seg_id).join(chosen, seg_id, "left")
+    return out.withColumns({"status": F.when(F.col("_chosen"), "in_progress").otherwise(F.col("status")), "claimed_at": F.when(F.col("_chosen"), now).otherwise(F.col("_before"))}).drop("_chosen", "_before")
+
+
+def audit_superseded(segments: DataFrame) -> DataFrame:
+    """Superseded segments with trouble: (seg_id, superseded_by, trouble, paths).
+
+    ``segments``: book, seg_id, heading, kind, records, released, superseded_by.  One whose class
+    does not own it, or is not there, is ``wrongly_superseded`` (paths: what it released); another
+    that still claims records is a ``superseded_claim`` (paths: its claims).
+    """
+    from lectern.operators.entries import owned_by_class
+
+    classes = segments.select("book", F.col("seg_id").alias("superseded_by"), F.col("heading").alias("_title"))
+    told = segments.filter("superseded_by IS NOT NULL").join(classes, ["book", "superseded_by"], "left")
+    owns = F.coalesce(owned_by_class(F.col("heading"), F.col("kind"), F.col("_title")), F.lit(False))
+    trouble = F.when(~owns, "wrongly_superseded").when(F.size("records") > 0, "superseded_claim")
+    found = told.withColumn("trouble", trouble).filter("trouble IS NOT NULL")
+    return found.select("seg_id", "superseded_by", "trouble", F.array_sort(F.array_distinct(F.when(~owns, F.col("released")).otherwise(F.col("records")))).alias("paths"))
+
+
+def restore(segments: DataFrame, audit: DataFrame) -> DataFrame:
+    """Segments after the audit's repairs: wrongly superseded ones get their stamp off and what they released back; others release their claims."""
+    said = audit.select("seg_id", F.col("trouble").alias("_trouble"))
+    out = segments.join(said, "seg_id", "left")
+    wrong, claim = (F.coalesce(F.col("_trouble") == t, F.lit(False)) for t in ("wrongly_superseded", "superseded_claim"))
+    none = F.array().cast(segments.schema["records"].dataType)
+    back = F.array_distinct(F.concat("records", "released"))
+    changed = {
+        "superseded_by": F.when(~wrong, F.col("superseded_by")),
+        "released": F.when(wrong, none).when(claim, F.array_distinct(F.concat("released", "records"))).otherwise(F.col("released")),
+        "records": F.when(wrong, back).when(claim, none).otherwise(F.col("records")),
+    }
+    return out.select(*(changed.get(c, F.col(c)).alias(c) for c in segments.columns))

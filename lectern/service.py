@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.numbers import number_text
-from lectern.operators import browse, canon, search
+from lectern.operators import browse, canon, resolve, search, tree
 from lectern.sources import stores
 
 PSEUDO = ["source", "category", "chapter"]
@@ -135,7 +135,16 @@ class Service:
         wanted = [t.strip() for t in (types or "").split(",") if t.strip()]
         if wanted:
             rows = rows.filter(F.col("type").isin(wanted))
-        return search.grouped(search.search(rows, "id", "name", q, limit), "type", "id", "name").orderBy("type")
+        hits = search.grouped(search.search(rows, "id", "name", q, limit, self._tokens()), "type", "id", "name")
+        labels = F.create_map(*(F.lit(x) for k, s in self.types.items() for x in (k, s.get("x-label") or s.get("title") or k))) if self.types else F.lit(None).cast("map<string,string>")
+        return hits.withColumn("label", F.coalesce(F.element_at(labels, F.col("type")), "type")).orderBy("type")
+
+    def _tokens(self) -> DataFrame:
+        """The stored index (token, id) over names and aliases, if the build has one; else one made now."""
+        if "tokens" in stores.tables(self.spark, self.root):
+            return self._table("tokens").withColumnRenamed("record_id", "id")
+        rows = self._table("records").filter("canonical")
+        return search.token_index(rows, "id", search.names_and_aliases("name", "aliases" if "aliases" in rows.columns else None))
 
     def _ids(self, fields: DataFrame, key: str, values: list[str], numeric: bool) -> DataFrame:
         ids = fields.select(F.col("record_id").alias("id")).distinct()
@@ -210,7 +219,36 @@ class Service:
         rows = self._table("fields").select(F.col("record_id").alias("id"), "key", "ord", value.alias("value")).join(best.select("id"), "id", "left_semi")
         lists = rows.groupBy("id", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "value"))), lambda x: x["value"]).alias("values"))
         maps = lists.groupBy("id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "values")))).alias("fields"))
-        found = best.join(maps, "id", "left").first()
+        found = self._in_full(best.join(maps, "id", "left")).first()
         if found is None:
             raise ApiError(404, "unknown slug")
         return found
+
+    def _in_full(self, best: DataFrame) -> DataFrame:
+        """With the book's title, the place in its contents, and its tables and corrections in their order, as far as the build has them.
+
+        A table that is not there is pending (its id alone); a correction that is not there is left out.
+        """
+        books = self._table("books").select("book_id", F.coalesce("title", "short_title").alias("book_title"))
+        out = best.join(books, "book_id", "left")
+        place = [c for c in ("category", "chapter", "section", "path") if f"toc_{c}" in out.columns]
+        out = out.withColumn("toc", F.struct(*(F.col(f"toc_{c}").alias(c) for c in place))) if place else out
+        live = self._table("records").select(F.col("id").cast("string").alias("_key"), "name", "slug", "type")
+        for column, pending in (("tables", F.struct("_ref", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("slug"))), ("applied_overrides", F.lit(None))):
+            if column in out.columns:
+                told = resolve.ordered_list(out, "id", column, live, "_key", F.struct(F.col("_key").alias("_ref"), "name", "slug"), pending)
+                out = out.drop(column).join(told.withColumnRenamed("resolved", column), "id", "left")
+        return out
+
+    def items(self, type_: str, parameters: Sequence[tuple[str, str]] = ()) -> DataFrame:
+        """A page of list items: the records asked for with their first page, place in the contents and a map of facet values."""
+        rows = self.records(type_, parameters)[0].withColumn("_nr", F.monotonically_increasing_id())  # a page is one sorted partition
+        schema = TypeSchema.of(self.types[type_])
+        keys = [key for f in schema.fields for _, key, _ in f.keys()]
+        value = F.coalesce("text_value", number_text(F.col("num_value")))
+        told = self._table("fields").filter(F.col("key").isin(keys)).select(F.col("record_id").alias("id"), "key", "ord", value.alias("value"))
+        maps = tree.values_by_key(told, "id", "key", "value", "ord").withColumnRenamed("values", "facets")
+        out = rows.join(maps, "id", "left")
+        first = [c for c in ("pages", "first_page") if c in out.columns][:1]
+        page = F.array_min("pages") if first == ["pages"] else F.col("first_page") if first else F.lit(None).cast("int")
+        return out.withColumn("page", page).orderBy("_nr").drop("_nr")

@@ -137,3 +137,23 @@ def _code_point(part: Column) -> Column:
 
 def word_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).filter("word != ''").distinct()
+
+
+def manifest_counts(books: DataFrame) -> DataFrame:
+    """What a manifest holds: (of, value, n) by kind and by scope."""
+    each = scope(books).select(F.explode(F.array(F.struct(F.lit("kind").alias("of"), F.col("kind").alias("value")), F.struct(F.lit("scope").alias("of"), F.col("scope").alias("value")))).alias("x"))
+    return each.groupBy("x.of", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+class PagesMissing(ValueError):
+    """Pages whose paragraphs and sidecar entries do not match one to one."""
+
+
+def checked_paragraphs(texts: DataFrame, sidecars: DataFrame, keys: list[str], named: int = 50) -> DataFrame:
+    """:func:`paragraphs`, or an error that names the pages that do not match (at most ``named`` of them, and their number)."""
+    made = paragraphs(texts, sidecars, keys)
+    bad = made.filter("missing").select(*keys)
+    rows = bad.orderBy(*keys).limit(named).collect()
+    if rows:
+        raise PagesMissing(f"{bad.count()} pages without matching sidecars: " + ", ".join("/".join(map(str, r)) for r in rows))
+    return made.drop("missing")

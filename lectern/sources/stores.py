@@ -103,6 +103,11 @@ def build(spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> str:
     return version
 
 
+def tables(spark: SparkSession, root: str) -> list[str]:
+    """The names of the current version's tables."""
+    return json.loads(read_text(spark, f"{root}/CURRENT"))["tables"]
+
+
 def current(spark: SparkSession, root: str, name: str) -> DataFrame:
     version = json.loads(read_text(spark, f"{root}/CURRENT"))["version"]
     return spark.read.parquet(f"{root}/{version}/{name}")
