@@ -42,6 +42,10 @@ def counts(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return at, total[at]
 
 
+def _ints(x: pa.ListScalar) -> np.ndarray:
+    return np.asarray(x.values)
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
@@ -140,12 +144,12 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
             keep = [k for k, t in enumerate(batch.column(2).to_pylist()) if has_letter(t)]
             found = [counts(batch.column(2)[k].as_py(), bits) for k in keep]
             picked = [c.take(pa.array(keep, pa.int64())) for c in batch.columns[:2]]
-            yield pa.RecordBatch.from_arrays([*picked, pa.array([a for a, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int64()))], ["h", "lang", "at", "n"])
+            yield pa.RecordBatch.from_arrays([*picked, pa.array([a.astype(np.int32) for a, _ in found], pa.list_(pa.int32())), pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))], ["h", "lang", "at", "n"])
 
     taken = rows.join(F.broadcast(chosen), ["_h", "_lang"]).select("_h", "_lang", "_text")  # at most max_docs keys
-    taken = taken.mapInArrow(counted, "h long, lang string, at array<long>, n array<long>").dropDuplicates(["h"]).orderBy(F.xxhash64(F.lit(seed + 1), "h"), "h").collect()
+    taken = taken.mapInArrow(counted, "h long, lang string, at array<int>, n array<int>").dropDuplicates(["h"]).orderBy(F.xxhash64(F.lit(seed + 1), "h"), "h").toArrow()
     model = Model(langs, idf, np.zeros((1 << bits, len(langs))), np.zeros(len(langs)), 1.0, bits)
-    sample = [(langs.index(r["lang"]), (np.array(r["at"], dtype=np.int64), np.array(r["n"], dtype=np.int64))) for r in taken]
+    sample = [(langs.index(lang), (_ints(at), _ints(n))) for b in taken.to_batches() for lang, at, n in zip(b.column("lang").to_pylist(), b.column("at"), b.column("n"))]
     cut = int(len(sample) * (1 - calibration)) if len(sample) >= 50 else len(sample)
     ftrl(model, [r for _, r in sample[:cut]], np.array([y for y, _ in sample[:cut]], dtype=np.int64), seed=seed, **more)
     model.temperature = best_temperature(np.array([model.logits(*r) for _, r in sample[cut:]]), np.array([y for y, _ in sample[cut:]], dtype=np.int64))
