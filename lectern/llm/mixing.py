@@ -93,10 +93,11 @@ def mix_plan(
         ),
         "mix",
     )
-    return _plan(sized, ["id"], weights, share, cap, shards, block_docs, seed, max_sources).withColumnRenamed("id", id_col)
+    return _plan(sized, ["id"], weights, share, cap, shards, block_docs, seed, max_sources)[0].withColumnRenamed("id", id_col)
 
 
-def _plan(sized: DataFrame, ids: list[str], weights, share, cap, shards, block_docs, seed, max_sources) -> DataFrame:
+def _plan(sized: DataFrame, ids: list[str], weights, share, cap, shards, block_docs, seed, max_sources) -> tuple[DataFrame, int]:
+    """The plan, and the number of shards."""
     spark = sized.sparkSession
     per_source = sized.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s")).limit(max_sources + 1).collect()
     if len(per_source) > max_sources:
@@ -143,14 +144,14 @@ def _plan(sized: DataFrame, ids: list[str], weights, share, cap, shards, block_d
     words = lambda e: F.when(e < F.col("full"), F.col("size")).otherwise(F.col("part"))
     d = d.withColumn("part", part).withColumn("taken", F.col("full") * F.col("size") + F.col("part"))
     placed = F.transform(F.sequence(F.lit(0), F.col("full")), lambda e: F.struct(F.get("shard_of", e).alias("shard"), e.alias("epoch"), words(e).alias("words")))
-    return d.select(*ids, F.col("src").alias("source"), "size", "source_size", "target", "taken", F.filter(placed, lambda p: p["words"] > 0).alias("placements"))
+    return d.select(*ids, F.col("src").alias("source"), "size", "source_size", "target", "taken", F.filter(placed, lambda p: p["words"] > 0).alias("placements")), shards
 
 
 def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 42, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, shards: int | None = None, block_docs: int = 256, max_sources: int = 100_000, shard_columns: bool = False) -> DataFrame:
     """The mix itself: a row of ``docs`` for every placement, in shards, each shuffled.
 
-    A shard's rows are together in one partition, in the order of the shuffle, so that files
-    written from the result are whole shards.  A document that is taken in part keeps its first
+    A shard's rows are one partition, in the order of the shuffle, so that files written from the
+    result are whole shards.  A document that is taken in part keeps its first
     words, with the white space before them; ``n_chars``, where there is one, follows.  With
     ``shard_columns``, ``_shard`` and ``_order`` come as the last two columns, whatever other
     columns are called.
@@ -172,7 +173,7 @@ def _mixed(docs: DataFrame, id_col, text_col, source_col, seed, weights, share,
         word_count(F.col(text_col)).alias("size"),
         F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(F.col(text_col))).alias("h"),
     )
-    plan = _plan(materialize(sized, "mix"), ["_row"], weights, share, cap, shards, block_docs, seed, max_sources)
+    plan, shards = _plan(materialize(sized, "mix"), ["_row"], weights, share, cap, shards, block_docs, seed, max_sources)
     plan = plan.select(F.col("_row").alias("_mix_row"), F.col("size").alias("_mix_size"), F.inline("placements").alias("_mix_shard", "_mix_epoch", "_mix_words"))
     out = docs_.join(plan, "_mix_row")
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, F.col("_mix_words").cast("int")), "")
@@ -182,4 +183,4 @@ def _mixed(docs: DataFrame, id_col, text_col, source_col, seed, weights, share,
         changed["n_chars"] = F.when(partial, F.length(cut)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     order = F.xxhash64(F.lit(seed + 2), F.col(id_col), F.xxhash64(F.col(text_col)), "_mix_epoch").alias("_mix_order")
     placed = out.withColumns(changed).select(*docs.columns, "_mix_shard", order)
-    return placed.repartition("_mix_shard").sortWithinPartitions("_mix_shard", "_mix_order")
+    return placed.repartitionById(shards, F.col("_mix_shard")).sortWithinPartitions("_mix_shard", "_mix_order")
