@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from lectern.plans import browsing, checking, joining, layouts, library, passes, queueing, records, streams, texts  # noqa: F401
+    from lectern.plans import browsing, checking, details, joining, layouts, library, passes, queueing, records, streams, texts  # noqa: F401
 
 
 def entry(spark: SparkSession) -> DataFrame:

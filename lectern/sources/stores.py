@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -145,3 +149,67 @@ def write_new_segments(spark: SparkSession, path: str, segments: DataFrame, id_c
         if "PATH_NOT_FOUND" not in str(e):
             raise
     segments.write.partitionBy(book).mode("append").parquet(path)
+
+
+def write_unmatched(spark: SparkSession, root: str, unmatched: DataFrame, source_books: DataFrame) -> str:
+    """Unmatched corrections as JSON files by book, in a new version that readers see whole.
+
+    Books in ``source_books`` show what is unmatched now, or nothing; those of other books stay as
+    they were.  Returns the folder.
+    """
+    folder = f"{root}/{uuid.uuid4().hex}"
+    try:
+        stored = spark.read.schema(unmatched.schema).json(json.loads(read_text(spark, f"{root}/CURRENT"))["folder"])
+        rows = unmatched.unionByName(stored.join(source_books.select("book_id").distinct(), "book_id", "left_anti"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        rows = unmatched
+    rows.write.partitionBy("book_id").json(folder)
+    write_text(spark, f"{root}/CURRENT", json.dumps({"folder": folder}))
+    return folder
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """A report's lines (part, key, line) as text, in order; one task sorts them, on disk if need be."""
+    lines.repartition(1).sortWithinPartitions("part", "key", "line").select("line").write.mode("overwrite").text(path)
+
+
+class LockTimeout(TimeoutError):
+    """Another writer holds the book for too long."""
+
+
+@contextmanager
+def book_lock(spark: SparkSession, root: str, book: str, timeout: float = 30.0, poll: float = 0.05) -> Iterator[None]:
+    """The only writer of a book's queue while the block runs; waits up to ``timeout`` seconds for it.
+
+    A lock is a file that only one writer can make, in a local folder or on HDFS (object stores
+    give no such promise).  A writer that dies leaves it behind; the error names the file.
+    """
+    fs, p, jvm = _fs(spark, f"{root}/.{book}.lock")
+    fs.mkdirs(p.getParent())
+    until = time.monotonic() + timeout
+    while not _made_alone(fs, p):
+        if time.monotonic() >= until:
+            raise LockTimeout(f"{p} is held by another writer for over {timeout} s")
+        time.sleep(poll)
+    try:
+        yield
+    finally:
+        fs.delete(p, False)
+
+
+def _made_alone(fs, p) -> bool:
+    if fs.getScheme() == "file":  # Hadoop's local file system looks first and makes then
+        try:
+            os.close(os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL, 0o644))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(p, False).close()
+    except Exception as e:
+        if "AlreadyExists" not in str(e) and "AlreadyBeingCreated" not in str(e):
+            raise
+        return False
+    return True
