@@ -20,22 +20,29 @@ def cross_links(records: DataFrame, labels: dict[str, str], longest: int = 12) -
     ``longest`` words (longer ones are an error).  Word runs and names meet in an equi-join.
     """
     named = records.select(F.col("id").alias("target"), "type", word_list(F.col("name")).alias("w")).filter("size(w) > 0")
-    most = named.agg(F.max(F.size("w")).alias("n")).first().n or 0
-    if most > longest:
-        raise ValueError(f"a name has {most} words; raise longest knowingly")
+    size = F.size("w")
+    seen = named.agg(F.max(size).alias("n"), F.array_sort(F.collect_set(F.when(size <= longest, size))).alias("sizes")).first()
+    if (seen.n or 0) > longest:
+        raise ValueError(f"a name has {seen.n} words; raise longest knowingly")
+    sizes = seen.sizes or [1]
     label = F.lit(None).cast("string")
     for kind, shown in labels.items():
         label = F.when(F.col("type") == kind, shown.lower()).otherwise(label)
     names = named.select("target", F.array_join("w", " ").alias("run"), F.concat(F.lit("the "), F.array_join(word_list(label), " ")).alias("lead"))
     shared = names.groupBy("run").agg(F.collect_list(F.struct("target", "lead")).alias("owners"))
 
-    texts = records.select("id", word_list(F.col("text")).alias("w")).filter("size(w) > 0")
+    # few bytes become many runs, so texts are dealt to all tasks before they are cut
+    dealt = records.select("id", "text").repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+    texts = dealt.select("id", word_list(F.col("text")).alias("w"))
     # a word carries its neighbours only, never the whole text
-    near = lambda _, i: F.struct(i.alias("pos"), F.slice("w", i + 1, F.lit(max(most, 1))).alias("ahead"), F.slice("w", F.greatest(F.lit(1), i - longest + 1), F.least(i, F.lit(longest))).alias("back"))
+    reach = 1 + max((len(shown) + 1) // 2 for shown in ["", *map(str.lower, labels.values())])  # no label has more words
+    near = lambda _, i: F.struct(i.alias("pos"), F.slice("w", i + 1, F.lit(sizes[-1])).alias("ahead"), F.slice("w", F.greatest(F.lit(1), i - reach + 1), F.least(i, F.lit(reach))).alias("back"))
     words = texts.select("id", F.explode(F.transform("w", near)).alias("x")).select("id", "x.*")
-    each = F.transform(F.sequence(F.lit(1), F.size("ahead")), lambda n: F.struct(n.alias("len"), F.array_join(F.slice("ahead", 1, n), " ").alias("run")))
+    # only lengths that some name has
+    each = F.filter(F.array(*(F.when(F.size("ahead") >= n, F.struct(F.lit(n).alias("len"), F.array_join(F.slice("ahead", 1, n), " ").alias("run"))) for n in sizes)), lambda x: x.isNotNull())
     runs = words.select("id", "pos", F.concat(F.lit(" "), F.array_join("back", " ")).alias("before"), F.inline(each))
-    hits = runs.join(shared, "run")
+    # by merge: names are as many as records, which no driver can hold however few bytes their files have
+    hits = runs.join(shared.hint("merge"), "run")
     typed = F.filter("owners", lambda o: F.endswith(F.col("before"), F.concat(F.lit(" "), o["lead"])))
     own = F.exists("owners", lambda o: o["target"] == F.col("id"))
     meant = F.when(own, F.col("id")).when(F.size("owners") == 1, F.get("owners", F.lit(0))["target"]).when(F.size(typed) == 1, F.get(typed, F.lit(0))["target"])

@@ -177,3 +177,14 @@ def test_cross_links(spark):
     assert {r.target: [x.name for x in r.referenced_by] for r in crosslinks.referenced_by(links, records).collect()}["g"] == ["Improved Grapple"]
     with pytest.raises(ValueError):
         crosslinks.cross_links(records, {}, longest=1)
+
+
+def test_cross_links_cut_only_lengths_of_names_and_broadcast_nothing(spark):
+    from lectern.operators import crosslinks
+
+    rows = [("l1", "spell", "Light", "Ask: the spell Light, not the feat Light."), ("l2", "feat", "Light", None), ("t", "rules", "Torch", "the spell Light; İ torch")]
+    records = spark.createDataFrame(rows, "id string, type string, name string, text string").coalesce(1)
+    links = crosslinks.cross_links(records, {"spell": "spell", "feat": "feat"}, longest=1)
+    assert {(r.id, r.target, r.n) for r in links.collect()} == {("t", "l1", 1)}  # a lead may be longer than the longest name
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
