@@ -523,3 +523,22 @@ def test_ngram_counts_do_not_depend_on_slices(monkeypatch):
     monkeypatch.setattr(langid, "SLICE", 7)
     parts = langid.counts(text, 12)
     assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+
+
+def test_quality_threshold_comes_from_all_labels(spark):
+    """More labels than the 20,000 that once bounded the fit, each of which counts."""
+    from pyspark.sql import functions as F
+
+    word = F.transform(F.sequence(F.lit(1), 60 + F.col("doc_id") % 40), lambda i: F.concat(F.lit("w"), (i * 7919 + F.col("doc_id") * 31) % 5003))
+    mark = F.when(F.col("doc_id") % 10 == 0, F.lit(" ### $$$ %%% &&& <<< >>> ||| !!! ??? ###")).otherwise("")
+    docs = spark.range(24_000).withColumnRenamed("id", "doc_id").withColumn("text", F.concat(F.array_join(word, " "), mark))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 10 == 0, 0).otherwise(1).alias("quality"))
+    seen, real = [], quality_rules.threshold
+    quality_rules.threshold = lambda cuts, good, bad, most: seen.append((good.sum(), bad.sum())) or real(cuts, good, bad, most)
+    try:
+        model = quality_rules.fit(docs, labels)
+    finally:
+        quality_rules.threshold = real
+    assert seen == [(21_600, 2_400)]
+    kept = {r.doc_id for r in quality_rules.apply_rules(docs, model).filter("kept").select("doc_id").collect()}
+    assert sum(i % 10 == 0 for i in kept) < 24 and sum(i % 10 != 0 for i in kept) >= 0.98 * 21_600

@@ -96,3 +96,18 @@ def test_packed_pieces_hold_their_ids(spark):
     assert rows and all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 for r in rows)
     made = packing.sequences(placed).collect()
     assert sum(r.tokens for r in made) == sum(r.length for r in rows)
+
+
+def test_a_pair_is_told_where_it_first_shares_a_shingle(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from lectern.llm import shingles
+
+    keys = F.sequence(F.lit(100), F.lit(129))  # thirty shingles that twenty unlinked sets all have
+    rows = spark.range(20).select(F.col("id").alias("node"), F.col("id").alias("root"), F.lit(200).alias("n"), *(F.lit(0).cast("long").alias(c) for c in shingles.SIGNATURE), F.posexplode(keys).alias("pos", "key"))
+    rows = rows.withColumns({"key": F.col("key").cast("long"), **{c: F.when(F.col("pos") >= k, (F.col("key") - k).cast("long")).otherwise(F.col("node")) for k, c in enumerate(shingles.AHEAD, 1)}})
+    expected = {(a, b) for a in range(20) for b in range(a)}
+    made = shingles.open_pairs(rows, (4, 5))
+    assert {(r.a, r.b) for r in made.collect()} == expected
+    monkeypatch.setattr(type(rows), "distinct", lambda d: d)
+    assert shingles.open_pairs(rows, (4, 5)).count() == len(expected)
